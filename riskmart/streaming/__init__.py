@@ -1,0 +1 @@
+"""Left empty on purpose: every load of this mart is a full batch refresh."""
