@@ -89,11 +89,19 @@ def _attach(df: DataFrame, ranks: DataFrame, key: str, total: int, distinct: int
     )
 
 
-def with_global_rank(df: DataFrame, ranking: Ranking) -> DataFrame:
-    """Add one rank over all rows. ``df`` is evaluated twice: for its keys and its rows."""
-    ranks = rank_keys(df, ranking.key, ranking.ascending)
+def attach_rank(df: DataFrame, key: str, ascending: bool = True) -> tuple[DataFrame, int]:
+    """Rows with their _rank, and how many rows there are.
+
+    ``df`` is evaluated twice: once for its keys, once for its rows.
+    """
+    ranks = rank_keys(df, key, ascending)
     total, distinct = ranks.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
-    ranked = _attach(df, ranks, ranking.key, total, distinct)
+    return _attach(df, ranks, key, total, distinct), total
+
+
+def with_global_rank(df: DataFrame, ranking: Ranking) -> DataFrame:
+    """Add one rank over all rows, whatever their number."""
+    ranked, total = attach_rank(df, ranking.key, ranking.ascending)
     out = _finish(F.col("_rank"), F.lit(total), ranking.mode)
     return ranked.withColumn(ranking.out, out).drop("_rank")
 
