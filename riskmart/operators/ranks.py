@@ -65,10 +65,16 @@ def rank_keys(df: DataFrame, key: str, ascending: bool = True) -> DataFrame:
     )
 
 
-def _attach(df: DataFrame, ranks: DataFrame, key: str, total: int, distinct: int) -> DataFrame:
+def _bound(df: DataFrame, one_task: int | None) -> int:
+    return one_task_rows(df.sparkSession) if one_task is None else one_task
+
+
+def _attach(
+    df: DataFrame, ranks: DataFrame, key: str, total: int, distinct: int, bound: int
+) -> DataFrame:
     """Add _rank to every row of ``df`` by its key."""
     same = F.col(key).eqNullSafe(F.col("_key"))
-    if distinct <= one_task_rows(df.sparkSession):
+    if distinct <= bound:
         return df.join(F.broadcast(ranks.drop("_n")), same, "left").drop("_key")
     # A key held by more than 4/P of all rows is hot; there are fewer than P/4 such keys,
     # so they can be broadcast. Their rows then spread over all partitions of the second
@@ -89,19 +95,23 @@ def _attach(df: DataFrame, ranks: DataFrame, key: str, total: int, distinct: int
     )
 
 
-def attach_rank(df: DataFrame, key: str, ascending: bool = True) -> tuple[DataFrame, int]:
+def attach_rank(
+    df: DataFrame, key: str, ascending: bool = True, one_task: int | None = None
+) -> tuple[DataFrame, int]:
     """Rows with their _rank, and how many rows there are.
 
     ``df`` is evaluated twice: once for its keys, once for its rows.
     """
     ranks = rank_keys(df, key, ascending)
     total, distinct = ranks.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
-    return _attach(df, ranks, key, total, distinct), total
+    return _attach(df, ranks, key, total, distinct, _bound(df, one_task)), total
 
 
-def with_global_rank(df: DataFrame, ranking: Ranking) -> DataFrame:
+def with_global_rank(
+    df: DataFrame, ranking: Ranking, one_task: int | None = None
+) -> DataFrame:
     """Add one rank over all rows, whatever their number."""
-    ranked, total = attach_rank(df, ranking.key, ranking.ascending)
+    ranked, total = attach_rank(df, ranking.key, ranking.ascending, one_task)
     out = _finish(F.col("_rank"), F.lit(total), ranking.mode)
     return ranked.withColumn(ranking.out, out).drop("_rank")
 
@@ -131,12 +141,14 @@ def with_total(df: DataFrame, value: str, out: str, rows: int) -> DataFrame:
     return df.withColumn(out, df.agg(F.sum(value)).scalar())
 
 
-def ordered_keys(df: DataFrame, natural: str, out: str) -> DataFrame:
+def ordered_keys(
+    df: DataFrame, natural: str, out: str, one_task: int | None = None
+) -> DataFrame:
     """Integer keys 1..n in the order of a natural id, so that reruns agree."""
     # Equal ids are told apart by their content and may fall into different partitions.
     keyed = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
     order = [F.col(natural).asc_nulls_first(), F.col("_tie")]
-    if df.count() <= one_task_rows(df.sparkSession):
+    if df.count() <= _bound(df, one_task):
         place = F.row_number().over(Window.orderBy(*order))
         return keyed.select(place.cast("int").alias(out), *df.columns)
     parts = materialize(

@@ -15,7 +15,7 @@ def read_raw(spark: SparkSession, path: str, table: str, multi_line: bool = Fals
     """One raw table, every column text.
 
     The header is checked against the expected names. Quotes are doubled inside quoted
-    fields. ``multi_line`` accepts line breaks in fields but reads each file in one task.
+    fields. An empty field is a missing value. ``multi_line`` accepts line breaks in fields but reads each file in one task.
     """
     return spark.read.csv(
         path,
@@ -54,7 +54,14 @@ def write_table(
         out = df.hint("rebalance", *partition_by)
     writer = out.write.mode("overwrite").partitionBy(*partition_by)
     if fmt == "csv":
-        writer.csv(path, header=True, quote='"', escape='"')
+        writer.csv(
+            path,
+            header=True,
+            quote='"',
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
     else:
         writer.format(fmt).save(path)
 

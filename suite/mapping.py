@@ -32,7 +32,7 @@ _SDATE = "CAST(l_shipdate AS DATE)"
 
 # Where the columns come from: the row source and the rows kept.
 SOURCE = {
-    "DimSupplier": ("SUPPLIER", None),
+    "DimSupplier": ("SUPPLIER_PLACE", None),
     "DimProduct": ("part", None),
     "DimWarehouse": ("nation", None),
     "DimCarrier": ("nation", None),
@@ -231,7 +231,13 @@ RAW_COLUMNS: dict[str, dict[str, str]] = {
     "Suppliers": _raw(
         "Suppliers",
         {
-            "SupplierName": _spoil("s_name", [("s_suppkey%29=3", "'\"' || s_name")]),
+            "SupplierName": _spoil(
+                "s_name",
+                [
+                    ("s_suppkey%29=3", "'\"' || s_name"),
+                    ("s_suppkey%41=7", "'Smith, Jones and \"Sons\", ' || s_name"),
+                ],
+            ),
             "Country": _spoil(
                 "n_name",
                 [

@@ -38,7 +38,7 @@ class Sources:
             return self._line()
         if source == "INV":
             return self._inv()
-        if source == "SUPPLIER":
+        if source == "SUPPLIER_PLACE":
             nation, region = self.table("nation"), self.table("region")
             return (
                 self.table("supplier")
