@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions.domains import COUNTRIES
-from riskmart.functions.exprs import MONEY, MONEY_SUM, mean, percent
+from riskmart.functions.exprs import MONEY, mean, money_sum, percent
 from riskmart.operators.facts import matched
 from riskmart.operators.staging import parse, typed_columns
 from riskmart.sources.schemas import DIMENSIONS, FACTS
@@ -152,10 +152,10 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def order_summary(orders: DataFrame) -> DataFrame:
-    value = F.sum("OrderValue")
+    value = money_sum(F.col("OrderValue"))
     return orders.agg(
         F.count(F.lit(1)).alias("Orders"),
-        value.cast(MONEY_SUM).alias("TotalOrderValue"),
+        value.alias("TotalOrderValue"),
         mean(value, F.count("OrderValue"), MONEY).alias("AvgOrderValue"),
         F.min("OrderDate").alias("FirstOrderDate"),
         F.max("OrderDate").alias("LastOrderDate"),
@@ -164,13 +164,13 @@ def order_summary(orders: DataFrame) -> DataFrame:
 
 def shipment_summary(shipments: DataFrame) -> DataFrame:
     """Early deliveries lower the mean delay here; it is not clamped."""
-    cost = F.sum("ShippingCost")
+    cost = money_sum(F.col("ShippingCost"))
     return shipments.agg(
         F.count(F.lit(1)).alias("Shipments"),
         percent(F.count_if(F.col("DelayDays") <= 0), F.count(F.lit(1))).alias("OnTimeDeliveryPct"),
         mean(F.sum("DelayDays"), F.count("DelayDays")).alias("AvgDelayDays"),
         mean(cost, F.count("ShippingCost"), MONEY).alias("AvgShippingCost"),
-        cost.cast(MONEY_SUM).alias("TotalShippingCost"),
+        cost.alias("TotalShippingCost"),
     )
 
 
@@ -180,7 +180,7 @@ def inventory_summary(inventory: DataFrame) -> DataFrame:
         mean(F.sum("WarehouseUtilizationPct"), F.count("WarehouseUtilizationPct")).alias(
             "AvgUtilizationPct"
         ),
-        F.sum("InventoryValue").cast(MONEY_SUM).alias("TotalInventoryValue"),
+        money_sum(F.col("InventoryValue")).alias("TotalInventoryValue"),
         mean(F.sum("StockCoverageDays"), F.count("StockCoverageDays"), MONEY).alias(
             "AvgCoverageDays"
         ),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.domains import RISK_LEVELS, STOCK_AT_RISK, STOCK_STATUSES
-from riskmart.functions.exprs import MONEY_SUM, percent
+from riskmart.functions.exprs import money_sum, percent
 from riskmart.operators.ranks import Ranking, with_ranks
 from riskmart.plans import dependency, inventory, logistics, supplier_risk
 from riskmart.sources.files import register_views
@@ -24,45 +24,57 @@ RISK_RANKS = [
 ]
 
 
-def supplier_risk_dashboard(star: Mapping[str, DataFrame]) -> DataFrame:
+# Every dashboard takes the view it shows, if the caller already has it.
+
+
+def supplier_risk_dashboard(
+    star: Mapping[str, DataFrame], view: DataFrame | None = None
+) -> DataFrame:
     shown = [c for c in supplier_risk.COLUMNS if c not in _RISK_PARTS]
     rows = star["DimSupplier"].count()
-    return with_ranks(supplier_risk.supplier_risk(star).select(*shown), RISK_RANKS, rows)
+    view = supplier_risk.supplier_risk(star) if view is None else view
+    return with_ranks(view.select(*shown), RISK_RANKS, rows)
 
 
-def inventory_dashboard(star: Mapping[str, DataFrame]) -> DataFrame:
-    return inventory.inventory_risk(star)
+def inventory_dashboard(star: Mapping[str, DataFrame], view: DataFrame | None = None) -> DataFrame:
+    view = inventory.inventory_risk(star) if view is None else view
+    return view.select(*inventory.COLUMNS)
 
 
-def logistics_dashboard(star: Mapping[str, DataFrame]) -> DataFrame:
-    return logistics.logistics_performance(star)
+def logistics_dashboard(star: Mapping[str, DataFrame], view: DataFrame | None = None) -> DataFrame:
+    view = logistics.logistics_performance(star) if view is None else view
+    return view.select(*logistics.COLUMNS)
 
 
-def supplier_dependency_dashboard(star: Mapping[str, DataFrame]) -> DataFrame:
+def supplier_dependency_dashboard(
+    star: Mapping[str, DataFrame], view: DataFrame | None = None
+) -> DataFrame:
     shown = [c for c in dependency.COLUMNS if c not in _IMPACT_PARTS]
-    return dependency.supplier_dependency(star).select(*shown)
+    view = dependency.supplier_dependency(star) if view is None else view
+    return view.select(*shown)
 
 
-def executive_summary(star: Mapping[str, DataFrame]) -> DataFrame:
-    """Eight figures in one row, one aggregate per source.
+def executive_summary(star: Mapping[str, DataFrame], view: DataFrame | None = None) -> DataFrame:
+    """Eight figures in one row, one aggregate per source; ``view`` is supplier risk.
 
     Stock statuses need no rank, so the inventory part reads the unranked metrics.
     """
+    view = supplier_risk.supplier_risk(star) if view is None else view
     spark = star["FactOrders"].sparkSession
     one = F.count(F.lit(1))
     suppliers = star["DimSupplier"].agg(
         F.count_if(F.col("ActiveStatus") == "Active").alias("TotalActiveSuppliers")
     )
-    risk = supplier_risk.supplier_risk(star).agg(
+    risk = view.agg(
         F.count_if(F.col("RiskCategory").isin("High", "Critical")).alias("HighRiskSuppliers")
     )
-    bought = F.sum(F.when(F.col("OrderStatus") != "Cancelled", F.col("OrderValue")))
+    bought = money_sum(F.when(F.col("OrderStatus") != "Cancelled", F.col("OrderValue")))
     orders = star["FactOrders"].agg(
-        one.alias("TotalOrders"), bought.cast(MONEY_SUM).alias("TotalPurchaseValue")
+        one.alias("TotalOrders"), bought.alias("TotalPurchaseValue")
     )
     shipments = star["FactShipments"].agg(
         percent(F.count_if(F.col("DelayDays") <= 0), one).alias("OnTimeDeliveryPct"),
-        F.sum("ShippingCost").cast(MONEY_SUM).alias("TotalShippingCost"),
+        money_sum(F.col("ShippingCost")).alias("TotalShippingCost"),
     )
     status = F.col("InventoryRiskStatus")
     stock = inventory.inventory_metrics(star).agg(
@@ -85,23 +97,32 @@ def executive_summary(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-# Names of the nine views.
-VIEWS = {
+# Names of the nine views. A dashboard names the view it shows.
+ANALYSES = {
     "vw_supplier_risk_analysis": supplier_risk.supplier_risk,
     "vw_supplier_dependency": dependency.supplier_dependency,
     "vw_inventory_risk": inventory.inventory_risk,
     "vw_logistics_performance": logistics.logistics_performance,
-    "vw_supplier_risk_dashboard": supplier_risk_dashboard,
-    "vw_inventory_dashboard": inventory_dashboard,
-    "vw_logistics_dashboard": logistics_dashboard,
-    "vw_supplier_dependency_dashboard": supplier_dependency_dashboard,
-    "vw_supply_chain_executive_summary": executive_summary,
 }
+DASHBOARDS = {
+    "vw_supplier_risk_dashboard": (supplier_risk_dashboard, "vw_supplier_risk_analysis"),
+    "vw_inventory_dashboard": (inventory_dashboard, "vw_inventory_risk"),
+    "vw_logistics_dashboard": (logistics_dashboard, "vw_logistics_performance"),
+    "vw_supplier_dependency_dashboard": (supplier_dependency_dashboard, "vw_supplier_dependency"),
+    "vw_supply_chain_executive_summary": (executive_summary, "vw_supplier_risk_analysis"),
+}
+
+
+def build_views(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All nine views; each analysis is built once and shared by its dashboards."""
+    views = {name: build(star) for name, build in ANALYSES.items()}
+    views |= {name: build(star, views[base]) for name, (build, base) in DASHBOARDS.items()}
+    return views
 
 
 def register_all(star: Mapping[str, DataFrame]) -> None:
     """The nine views as temporary views, under their usual names."""
-    register_views({name: build(star) for name, build in VIEWS.items()})
+    register_views(build_views(star))
 
 
 def supplier_risk_report(view: DataFrame, level: str | None) -> DataFrame:

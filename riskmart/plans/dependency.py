@@ -14,6 +14,7 @@ from riskmart.functions.exprs import (
     PCT,
     bands,
     mean,
+    money_sum,
     percent,
     weighted,
     zero_if_null,
@@ -59,7 +60,7 @@ def product_purchases(orders: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("_orders"),
             F.count("OrderValue").alias("_priced"),
             F.sum("OrderQuantity").alias("_quantity"),
-            F.sum("OrderValue").cast(MONEY_SUM).alias("SupplierProductValue"),
+            money_sum(F.col("OrderValue")).alias("SupplierProductValue"),
         )
     )
 
@@ -73,7 +74,7 @@ def product_spend(orders: DataFrame) -> DataFrame:
     return (
         not_cancelled(orders)
         .groupBy("ProductKey")
-        .agg(F.sum("OrderValue").cast(MONEY_SUM).alias("TotalProductSpend"))
+        .agg(money_sum(F.col("OrderValue")).alias("TotalProductSpend"))
     )
 
 
@@ -110,11 +111,11 @@ def _exposure_columns() -> list:
 
 
 def _spend_columns() -> list:
-    value = F.sum("SupplierProductValue")
+    value = money_sum(F.col("SupplierProductValue"))
     return [
         F.sum("_orders").alias("TotalOrders"),
         F.sum("_quantity").alias("TotalOrderQuantity"),
-        value.cast(MONEY_SUM).alias("TotalPurchaseValue"),
+        value.alias("TotalPurchaseValue"),
         mean(value, F.sum("_priced"), MONEY).alias("AvgOrderValue"),
         F.count("ProductKey").alias("ProductsSupplied"),
     ]

@@ -91,8 +91,12 @@ def latest_snapshot(inventory: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def current_inventory(star: Mapping[str, DataFrame]) -> DataFrame:
-    """Stock at the latest snapshot. Filtering on the key prunes partitions of the fact."""
-    latest = latest_snapshot(star["FactInventory"], star["DimDate"])
+    """Stock at the latest snapshot.
+
+    The latest key is one value, fetched first: as a literal it prunes the partitions of
+    the fact before planning, and no later job has to look for it again.
+    """
+    latest = latest_snapshot(star["FactInventory"], star["DimDate"]).first()
     product = star["DimProduct"].select(
         "ProductKey", "ProductID", "ProductName", "Category", "SubCategory", "UnitCost"
     )
@@ -104,7 +108,7 @@ def current_inventory(star: Mapping[str, DataFrame]) -> DataFrame:
         F.col("City").alias("WarehouseCity"),
     )
     day = star["DimDate"].select("DateKey", F.col("FullDate").alias("SnapshotDate"))
-    fact = star["FactInventory"].where(F.col("DateKey") == latest.select("LatestDateKey").scalar())
+    fact = star["FactInventory"].where(F.col("DateKey") == F.lit(latest.LatestDateKey))
     kept = ["InventoryKey", "InventoryRecordID", "ProductKey", "WarehouseKey", "DateKey"]
     kept += [c for c in FACTS["FactInventory"].measures if c != "RiskStatus"]
     return (

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions.exprs import MONEY, MONEY_SUM, mean, percent, ratio
+from riskmart.functions.exprs import MONEY, mean, money_sum, percent, ratio
 from riskmart.plans.reports import top
 
 FRACTION = "decimal(18,6)"
@@ -23,7 +23,7 @@ def _divide(num, den):
 
 def total_purchase_value(orders: DataFrame) -> DataFrame:
     """All orders, cancelled ones included."""
-    return orders.agg(F.sum("OrderValue").cast(MONEY_SUM).alias("TotalPurchaseValue"))
+    return orders.agg(money_sum(F.col("OrderValue")).alias("TotalPurchaseValue"))
 
 
 def dependency_share(dependency: DataFrame, slicers: Sequence[str] = ()) -> DataFrame:
@@ -88,18 +88,18 @@ def inventory_cards(stock: DataFrame) -> DataFrame:
         F.count_if(status == "Critical").alias("CriticalStockItems"),
         F.count_if(status == "Reorder Required").alias("LowStockItems"),
         F.count_if(status == "Overstock").alias("OverstockItems"),
-        F.sum("InventoryValue").cast(MONEY_SUM).alias("TotalInventoryValue"),
+        money_sum(F.col("InventoryValue")).alias("TotalInventoryValue"),
     )
 
 
 def logistics_cards(shipments: DataFrame) -> DataFrame:
-    delay, cost = F.col("DelayDays"), F.sum("ShippingCost")
+    delay, cost = F.col("DelayDays"), money_sum(F.col("ShippingCost"))
     rows = F.count(F.lit(1))
     return shipments.agg(
         rows.alias("TotalShipments"),
         percent(F.count_if(delay <= 0), rows).alias("OnTimeDeliveryPct"),
         mean(F.sum(F.when(delay > 0, delay).otherwise(0)), rows).alias("AvgDeliveryDelay"),
-        cost.cast(MONEY_SUM).alias("TotalShippingCost"),
+        cost.alias("TotalShippingCost"),
         mean(cost, F.count("ShippingCost"), MONEY).alias("AvgShippingCost"),
     )
 
@@ -165,7 +165,7 @@ def highest_overstock_products(stock: DataFrame, n: int = 10) -> DataFrame:
 def stock_by_warehouse(stock: DataFrame) -> DataFrame:
     return stock.groupBy("WarehouseName").agg(
         F.sum("CurrentStock").alias("CurrentStock"),
-        F.sum("InventoryValue").cast(MONEY_SUM).alias("InventoryValue"),
+        money_sum(F.col("InventoryValue")).alias("InventoryValue"),
     )
 
 

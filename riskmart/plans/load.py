@@ -52,6 +52,7 @@ def refresh(
     raw_folder: str,
     mart_folder: str,
     calendar: tuple[str, str] = CALENDAR,
+    dense_fact_keys: bool = True,
 ) -> Star:
     """Load everything: staged tables, dimensions, then facts. Existing tables are replaced.
 
@@ -68,6 +69,8 @@ def refresh(
     }
     dims["DimDate"] = save(spark, date_dimension(spark, *calendar), mart_folder, "DimDate")
     for name, fact in FACTS.items():
-        rows = with_fact_key(build_fact(staged[fact.staged], dims, name), name)
+        rows = with_fact_key(
+            build_fact(staged[fact.staged], dims, name), name, dense_fact_keys
+        )
         save(spark, rows, mart_folder, name)
     return Star(spark, mart_folder)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.domains import CARRIER_BANDS, CARRIER_FLOOR, CARRIER_WEIGHTS
-from riskmart.functions.exprs import MONEY, MONEY_SUM, bands, mean, percent, weighted
+from riskmart.functions.exprs import MONEY, bands, mean, money_sum, percent, weighted
 from riskmart.operators.ranks import Ranking, with_ranks
 
 PROFILE = ["CarrierKey", "CarrierID", "CarrierName", "CarrierType", "Country", "ServiceLevel"]
@@ -52,7 +52,7 @@ def carrier_metrics(shipments: DataFrame) -> DataFrame:
         F.count("DeliveryDays").alias("_day_rows"),
         F.sum(F.when(delay > 0, delay).otherwise(0)).alias("_late_days"),
         F.count("ShippingCost").alias("_cost_rows"),
-        F.sum("ShippingCost").cast(MONEY_SUM).alias("TotalShippingCost"),
+        money_sum(F.col("ShippingCost")).alias("TotalShippingCost"),
         F.sum("QuantityShipped").alias("TotalQuantityShipped"),
         F.sum("DamagedQuantity").alias("TotalDamagedQuantity"),
     )

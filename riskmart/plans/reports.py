@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.domains import CARRIER_ORDER, SUPPLIER_ORDER
-from riskmart.functions.exprs import MONEY_SUM, mean, position_in
+from riskmart.functions.exprs import mean, money_sum, position_in
 
 
 def top(
@@ -183,7 +183,7 @@ def warehouse_risk(stock: DataFrame) -> DataFrame:
             F.count_if(status == "Stockout").alias("StockoutItems"),
             F.count_if(status == "Critical").alias("CriticalItems"),
             mean(F.sum(used), F.count(used)).alias("AvgUtilizationPct"),
-            F.sum("InventoryValue").cast(MONEY_SUM).alias("TotalInventoryValue"),
+            money_sum(F.col("InventoryValue")).alias("TotalInventoryValue"),
         )
         .orderBy(F.desc("StockoutItems"), F.desc("CriticalItems"), "WarehouseName")
     )

@@ -13,6 +13,7 @@ from riskmart.functions.exprs import (
     PCT,
     bands,
     mean,
+    money_sum,
     percent,
     weighted,
     zero_if_null,
@@ -102,7 +103,7 @@ def purchase_metrics(orders: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("TotalOrders"),
             F.sum("OrderQuantity").alias("TotalOrderQuantity"),
-            F.sum("OrderValue").cast(MONEY_SUM).alias("TotalPurchaseValue"),
+            money_sum(F.col("OrderValue")).alias("TotalPurchaseValue"),
         )
     )
 
