@@ -55,18 +55,21 @@ def compare(df, con, sql: str) -> str | None:
     return None
 
 
-def main(sf_dir: str, pattern: str = "") -> int:
+def main(sf_dir: str, pattern: str = "", *settings: str) -> int:
+    """``settings`` are extra ``key=value`` session settings."""
     from pyspark.sql import SparkSession
 
     from riskmart.session import tuned
     from suite.catalog import CHECKS, QUERIES
 
-    spark = (
+    builder = (
         tuned(SparkSession.builder.master("local[8]"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for setting in settings:
+        builder = builder.config(*setting.split("=", 1))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     con, bad = duck(sf_dir), 0
     for name, build in QUERIES.items():
