@@ -103,9 +103,10 @@ def _written_orders(m: Mart) -> DataFrame:
 
 
 def _refreshed_inventory(m: Mart) -> DataFrame:
-    """Written twice: the second load replaces the first."""
+    """Written twice: the second load replaces the first, which held every row double."""
     folder = work_path(m.spark, "refresh")
-    load.save(m.spark, m["FactInventory"].limit(0), folder, "FactInventory")
+    double = m["FactInventory"].unionByName(m["FactInventory"])
+    load.save(m.spark, double, folder, "FactInventory")
     saved = load.save(m.spark, m["FactInventory"], folder, "FactInventory")
     return saved.groupBy("DateKey").agg(
         F.count(F.lit(1)).alias("RowCount"), F.sum("CurrentStock").alias("CurrentStock")
@@ -237,6 +238,17 @@ for _t, _n in (("Suppliers", 5), ("Orders", 10), ("Inventory", 20)):
         + _list(*[f"{c} NULLS FIRST" for c in _cols])
         + f" LIMIT {_n}",
     )
+for _t, _cols in (
+    ("Suppliers", ["SupplierSince"]),
+    ("Orders", ["OrderDate", "ExpectedDeliveryDate"]),
+):
+    add(
+        f"dq_19_{_t.lower()}_dates",
+        lambda m, t=_t, cols=_cols: dq.preview(m.raw(t).select(*cols), 20, cols),
+        f"SELECT {_list(*_cols)} FROM Raw{_t} ORDER BY "
+        + _list(*[f"{c} NULLS FIRST" for c in _cols])
+        + " LIMIT 20",
+    )
 for _t, _c in (
     ("Orders", "OrderStatus"),
     ("Shipments", "ShipmentStatus"),
@@ -389,13 +401,13 @@ add(
     ),
     "SELECT CAST(1 AS BIGINT) AS FirstKey, COUNT(*) AS LastKey, COUNT(*) AS Keys FROM FactOrders",
 )
-_FIXED = "StgSuppliers WHERE SupplierID<='SUP000060'"
+_FIXED = "StgSuppliers WHERE QualityRating IS NOT NULL"
 _ATTRIBUTES = [c for c in STAGED["Suppliers"] if c != "SupplierID"]
 add(
     "dim_07_correction",
     lambda m: dim.correct_dimension(
         m["DimSupplier"],
-        m.staged("Suppliers").where(F.col("SupplierID") <= "SUP000060"),
+        m.staged("Suppliers").where(F.col("QualityRating").isNotNull()),
         "SupplierID",
         "SupplierKey",
     ),

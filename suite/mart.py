@@ -142,8 +142,9 @@ class Mart(Mapping[str, DataFrame]):
         return len(STAR)
 
     def raw(self, table: str) -> DataFrame:
-        """Text rows derived from the given tables, some of them spoiled."""
-        return self.sources.mapped(mapping.RAW_SOURCE[table], mapping.RAW_COLUMNS[table])
+        """Landed text rows derived from the given tables, some of them spoiled."""
+        source, columns = mapping.RAW_SOURCE[table], mapping.RAW_COLUMNS[table]
+        return self._stored(f"raw-{table}", lambda: self.sources.mapped(source, columns))
 
     def raw_all(self) -> dict[str, DataFrame]:
         return {t: self.raw(t) for t in RAW_FILES}
