@@ -98,8 +98,13 @@ def with_order_age(orders: DataFrame, cut_off: str, recent_days: int = 60) -> Da
 
 
 def sort_on_write(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Range partitions, each sorted: files in global order without one sorting task."""
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    """Range partitions, each sorted: files in global order without one sorting task.
+
+    A hash of the row follows the columns in the ranges, so that one value holding much of
+    the table may span several partitions.
+    """
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartitionByRange(*columns, tie).sortWithinPartitions(*columns)
 
 
 def completed_orders(orders: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ def read_raw(spark: SparkSession, path: str, table: str, multi_line: bool = Fals
     """One raw table, every column text.
 
     The header is checked against the expected names. Quotes are doubled inside quoted
-    fields. An empty field is a missing value. ``multi_line`` accepts line breaks in fields but reads each file in one task.
+    fields. An empty field is a missing value. ``multi_line`` accepts line breaks in fields
+    but reads each file in one task.
     """
     return spark.read.csv(
         path,

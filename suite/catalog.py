@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions import stock
-from riskmart.functions.domains import CATEGORY_MAP, COUNTRIES, RISK_LEVELS, STOCK_STATUSES
+from riskmart.functions.domains import COUNTRIES, RISK_LEVELS, STOCK_STATUSES
 from riskmart.operators import dimensions as dim
 from riskmart.operators import facts as fct
 from riskmart.operators import quality as dq
@@ -616,6 +616,7 @@ _RP2 = (
     "AvgDailyDemand, StockCoverageDays, InventoryValue, InventoryRiskValue, InventoryRiskStatus, "
     "InventoryRiskScore, RiskPriority"
 )
+# The sample calls of both reports (rp_03) are among these.
 for _level in RISK_LEVELS:
     add(
         f"rp_01_supplier_report_{_level.lower()}",

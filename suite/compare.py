@@ -85,7 +85,8 @@ def main(sf_dir: str, pattern: str = "", *settings: str) -> int:
         except Exception as e:  # noqa: BLE001 - report and go on
             diff = f"{type(e).__name__}: {str(e)[:600]}"
         bad += diff is not None
-        print(f"{'ok  ' if diff is None else 'FAIL'} {time.time() - start:6.2f}s {name} {diff or ''}")
+        state = "ok  " if diff is None else "FAIL"
+        print(f"{state} {time.time() - start:6.2f}s {name} {diff or ''}")
     print(f"{bad} failures")
     return bad
 

@@ -133,7 +133,8 @@ SELECT SupplierKey, COUNT(*) AS TotalInspections,
   {pct("SUM(DefectQuantity)", "SUM(InspectedQuantity)")} AS DefectRatePct
 FROM FactSupplierQuality GROUP BY ALL"""
 PARTS["SrBuy"] = """
-SELECT SupplierKey, COUNT(*) AS TotalOrders, CAST(SUM(OrderQuantity) AS BIGINT) AS TotalOrderQuantity,
+SELECT SupplierKey, COUNT(*) AS TotalOrders,
+  CAST(SUM(OrderQuantity) AS BIGINT) AS TotalOrderQuantity,
   CAST(SUM(OrderValue) AS DECIMAL(28,2)) AS TotalPurchaseValue
 FROM FactOrders WHERE OrderStatus<>'Cancelled' GROUP BY ALL"""
 _PROFILE = (
@@ -190,7 +191,8 @@ PARTS["Sr"] = (
 _VALUE = "CAST(OrderValue*100 AS BIGINT)"
 PARTS["Bought"] = "SELECT * FROM FactOrders WHERE OrderStatus<>'Cancelled'"
 PARTS["SdSpend"] = f"""
-SELECT SupplierKey, COUNT(*) AS TotalOrders, CAST(SUM(OrderQuantity) AS BIGINT) AS TotalOrderQuantity,
+SELECT SupplierKey, COUNT(*) AS TotalOrders,
+  CAST(SUM(OrderQuantity) AS BIGINT) AS TotalOrderQuantity,
   CAST(SUM(OrderValue) AS DECIMAL(28,2)) AS TotalPurchaseValue,
   {avg(cents("OrderValue"), "COUNT(OrderValue)", "DECIMAL(18,2)")} AS AvgOrderValue,
   COUNT(DISTINCT ProductKey) AS ProductsSupplied,
@@ -273,7 +275,8 @@ SELECT *, {_GAP} AS StockGapQty,
   CASE WHEN StockCoverageDays<=0 THEN 'Stockout' WHEN StockCoverageDays<7 THEN 'Critical'
     WHEN StockCoverageDays<15 THEN 'Low Coverage' WHEN StockCoverageDays>90 THEN 'Excess Coverage'
     ELSE 'Healthy' END AS CoverageStatus,
-  CAST(({_GAP})*UnitCost AS DECIMAL(18,2)) AS InventoryRiskValue FROM IrNow"""
+  CAST(CASE WHEN AvailableStock<ReorderLevel THEN (ReorderLevel-AvailableStock)*UnitCost ELSE 0 END
+    AS DECIMAL(18,2)) AS InventoryRiskValue FROM IrNow"""
 PARTS["IrBase"] = """
 SELECT *, CAST(CASE InventoryRiskStatus WHEN 'Stockout' THEN 100 WHEN 'Critical' THEN 85
   WHEN 'Reorder Required' THEN 65 WHEN 'Overstock' THEN 45 ELSE 10 END AS DECIMAL(10,2))

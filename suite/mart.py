@@ -92,9 +92,8 @@ def _star_table(src: Sources, name: str) -> DataFrame:
     df = src.mapped(mapping.SOURCE[name], mapping.COLUMNS[name])
     if name == "FactInventory":
         houses = src.mapped(mapping.SOURCE["DimWarehouse"], mapping.COLUMNS["DimWarehouse"])
-        stock = df.withColumn(
-            "WarehouseID", F.concat(F.lit("WH"), F.lpad(F.col("WarehouseKey").cast("string"), 3, "0"))
-        )
+        number = F.lpad(F.col("WarehouseKey").cast("string"), 3, "0")
+        stock = df.withColumn("WarehouseID", F.concat(F.lit("WH"), number))
         df = with_utilization(stock, houses).select(*df.columns, "WarehouseUtilizationPct")
     return df
 

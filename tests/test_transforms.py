@@ -185,6 +185,17 @@ def test_inspections(spark):
     ]
 
 
+def test_sort_on_write_splits_a_hot_value(spark):
+    df = spark.range(20000).select(F.lit(1).alias("v"), "id")
+    parts = tr.sort_on_write(df, ["v"]).groupBy(F.spark_partition_id().alias("p")).count()
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert max(r["count"] for r in parts.collect()) < 10000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_sort_on_write_orders_across_partitions(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
     parts = tr.sort_on_write(df, ["v"]).select("v", F.spark_partition_id().alias("p")).collect()
