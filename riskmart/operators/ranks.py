@@ -39,30 +39,45 @@ def _finish(rank: Column, rows: Column, mode: str) -> Column:
     return F.coalesce(ratio((rank - 1) * 100, rows - 1), F.lit(0).cast("decimal(10,2)"))
 
 
-def _rows_before(counts: DataFrame) -> DataFrame:
-    """(_pid, _rows) to (_pid, _before). Holds one row per partition, never more."""
-    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        "_pid", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    )
+def _ranges(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` range-partitioned and written, with the number of its range in _pid.
+
+    The number is stored with the row, so that every later use sees the same one.
+    """
+    spread = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+    return materialize(spread, "ranges")
+
+
+def _range_starts(ranges: DataFrame, weight: Column) -> tuple[Column, int, int]:
+    """Weight in the ranges before a row's own, total weight, and number of rows.
+
+    Fetches two numbers per range, at most one for each shuffle partition.
+    """
+    sums = ranges.groupBy("_pid").agg(F.sum(weight).alias("w"), F.count(weight).alias("n"))
+    found = {r["_pid"]: r for r in sums.collect()}
+    starts, total = [], 0
+    for pid in range(max(found, default=-1) + 1):
+        starts.append(total)
+        total += found[pid]["w"] if pid in found else 0
+    listed = ",".join(f"{s}L" for s in starts) or "0L"
+    start = F.expr(f"element_at(array({listed}), _pid + 1)")
+    return start, total, sum(r["n"] for r in found.values())
 
 
-def rank_keys(df: DataFrame, key: str, ascending: bool = True) -> DataFrame:
-    """One row per distinct key: _key, _n rows that hold it, _rank of those rows."""
+def rank_keys(df: DataFrame, key: str, ascending: bool = True) -> tuple[DataFrame, int, int]:
+    """One row per distinct key (_key, _n rows that hold it, _rank of those rows).
+
+    Also the number of rows and of distinct keys.
+    """
     order = _order("_key", ascending)
     ties = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    # The partition number is stored with the row, so both uses below see the same one.
-    parts = materialize(
-        ties.repartitionByRange(order).withColumn("_pid", F.spark_partition_id()), "ties"
-    )
-    before = _rows_before(parts.groupBy("_pid").agg(F.sum("_n").alias("_rows")))
+    ranges = _ranges(ties, order)
+    start, total, distinct = _range_starts(ranges, F.col("_n"))
     earlier = (
         Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
     within = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    return parts.join(F.broadcast(before), "_pid").select(
-        "_key", "_n", (F.col("_before") + within + 1).alias("_rank")
-    )
+    return ranges.select("_key", "_n", (start + within + 1).alias("_rank")), total, distinct
 
 
 def _bound(df: DataFrame, one_task: int | None) -> int:
@@ -102,8 +117,7 @@ def attach_rank(
 
     ``df`` is evaluated twice: once for its keys, once for its rows.
     """
-    ranks = rank_keys(df, key, ascending)
-    total, distinct = ranks.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
+    ranks, total, distinct = rank_keys(df, key, ascending)
     return _attach(df, ranks, key, total, distinct, _bound(df, one_task)), total
 
 
@@ -151,14 +165,10 @@ def ordered_keys(
     if df.count() <= _bound(df, one_task):
         place = F.row_number().over(Window.orderBy(*order))
         return keyed.select(place.cast("int").alias(out), *df.columns)
-    parts = materialize(
-        keyed.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()), "keys"
-    )
-    before = _rows_before(parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows")))
+    ranges = _ranges(keyed, *order)
+    start, _, _ = _range_starts(ranges, F.lit(1))
     place = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
-    return parts.join(F.broadcast(before), "_pid").select(
-        (F.col("_before") + place).cast("int").alias(out), *df.columns
-    )
+    return ranges.select((start + place).cast("int").alias(out), *df.columns)
 
 
 def dense_keys(df: DataFrame, out: str) -> DataFrame:
@@ -166,12 +176,15 @@ def dense_keys(df: DataFrame, out: str) -> DataFrame:
     local_bits = 33  # fixed layout of monotonically_increasing_id: partition, then row
     parts = materialize(df.withColumn("_at", F.monotonically_increasing_id()), "keys")
     pid = F.shiftright("_at", local_bits)
-    before = _rows_before(
-        parts.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per written partition: these stay in Spark, as a large load writes very many.
+    counts = parts.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        "_pid", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
     local = F.col("_at").bitwiseAND(F.lit((1 << local_bits) - 1))
     return (
         parts.withColumn("_pid", pid)
-        .join(F.broadcast(before), "_pid")
+        .join(F.broadcast(starts), "_pid")
         .select((F.col("_before") + local + 1).alias(out), *df.columns)
     )

@@ -15,6 +15,8 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the Python line of every expression takes longer than building it.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
 

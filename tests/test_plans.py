@@ -26,12 +26,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def one_task_inputs(df):
-    """The operator that feeds each exchange into a single task."""
-    lines = re.sub(r"#\d+L?", "", plan(df)).splitlines()
-    return [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-
-
 def scans(text, columns_of):
     """Columns read by the scans whose first column is in ``columns_of``."""
     return [s.split(",") for s in re.findall(r"FileScan parquet \[([^\]]*)\]", re.sub(r"#\d+L?", "", text))
@@ -59,8 +53,7 @@ def test_aggregates_are_partial_before_the_shuffle(mart):
 def test_inventory_reads_one_partition_and_has_no_global_window(spark, mart):
     df = ir.inventory_risk(mart)
     text = plan(df)
-    # One task sees only totals per rank partition, never stock rows.
-    assert all("HashAggregate(keys=[_pid]" in line for line in one_task_inputs(df))
+    assert "SinglePartition" not in text
     latest = ir.latest_snapshot(mart["FactInventory"], mart["DimDate"]).first().LatestDateKey
     assert re.search(rf"PartitionFilters: \[[^\]]*DateKey#\d+ = {latest}", text)
 
@@ -86,12 +79,12 @@ def test_fact_load_joins_by_sort_merge_when_dimensions_are_large(spark, mart):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_wide_ranks_sort_only_partition_totals_in_one_task(mart):
+def test_wide_ranks_have_no_single_task(mart):
     df = with_global_rank(
         mart["FactOrders"].select("OrderID", "OrderValue"), Ranking("OrderValue", "r"), 0
     )
-    inputs = one_task_inputs(df)
-    assert inputs and all("HashAggregate(keys=[_pid]" in line for line in inputs)
+    text = plan(df)
+    assert "SinglePartition" not in text and "Window" in text
 
 
 def test_nothing_runs_in_python(spark, mart):
