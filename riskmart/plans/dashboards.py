@@ -125,6 +125,9 @@ def register_all(star: Mapping[str, DataFrame]) -> None:
     register_views(build_views(star))
 
 
+# Columns of the two reports, and the texts of their errors.
+
+
 def supplier_risk_report(view: DataFrame, level: str | None) -> DataFrame:
     """Suppliers of one risk level. No level gives no rows; an unknown one is an error."""
     if level is not None and level not in RISK_LEVELS:

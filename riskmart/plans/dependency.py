@@ -22,6 +22,7 @@ from riskmart.functions.exprs import (
 from riskmart.operators.ranks import Ranking, with_ranks
 from riskmart.plans.supplier_risk import PROFILE, not_cancelled, per_supplier, with_share
 
+# Columns of the view, in order.
 COLUMNS = [
     *PROFILE,
     "TotalOrders",

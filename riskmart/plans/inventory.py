@@ -47,6 +47,7 @@ POSITION = [
     "WarehouseUtilizationPct",
 ]
 
+# Columns of the view, in order.
 COLUMNS = [
     "InventoryKey",
     "InventoryRecordID",

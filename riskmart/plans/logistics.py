@@ -13,6 +13,7 @@ from riskmart.operators.ranks import Ranking, with_ranks
 
 PROFILE = ["CarrierKey", "CarrierID", "CarrierName", "CarrierType", "Country", "ServiceLevel"]
 
+# Columns of the view, in order.
 COLUMNS = [
     *PROFILE,
     "TotalShipments",

@@ -32,6 +32,7 @@ PROFILE = [
     "ActiveStatus",
 ]
 
+# Columns of the view, in order.
 COLUMNS = [
     *PROFILE,
     "TotalOrders",
