@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables. Python workers get the folder that holds this package."""
+def ready(spark: SparkSession) -> SparkSession:
+    """Give Python workers the folder that holds this package."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def only(df: DataFrame, **types: str) -> DataFrame:
