@@ -167,17 +167,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
 
     component_id is the smallest doc_id reachable over links of at most ``max_bits`` differing bits.
     Null and empty texts have fingerprint 0 and link like others; rows that repeat a doc_id with
-    other text each keep their row and fall in one class. An empty table gives no rows; other
-    columns take no part.
+    other text each keep their row. Rows with a null doc_id link nothing; they get the class of their
+    fingerprint, or null if no numbered row has it. An empty table gives no rows; other columns take no part.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.save(fingerprints(docs, shingle), "prints")
-    distinct = scratch.save(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    distinct = scratch.save(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     found = components(links(distinct, scratch, max_bits), scratch)
     classes = distinct.join(found, F.col("first_id") == F.col("node"), "left").select(
         "fp", F.coalesce("root", "first_id").alias("component_id")
     )
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
