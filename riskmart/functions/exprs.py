@@ -42,13 +42,8 @@ def mean(total: Column, n: Column, dtype: str = PCT) -> Column:
 
 
 def money_sum(c: Column) -> Column:
-    """Sum of a money column, added up as whole cents.
-
-    A sum over decimals of 18 digits adds big decimals row by row; over long integers it
-    is twice as fast. Totals up to 9 * 10**16 fit; beyond, the query fails.
-    """
-    whole = F.sum((c * F.lit(Decimal(100))).cast("bigint"))
-    return (whole.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
+    """Sum of a money column in exact decimals: ten digits more than one value may have."""
+    return F.sum(c).cast(MONEY_SUM)
 
 
 def zero_if_null(c: Column, dtype: str) -> Column:

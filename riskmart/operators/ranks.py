@@ -1,8 +1,9 @@
 """Ranks over a whole table, and dense keys, without one task holding the table.
 
 A window without PARTITION BY moves every row to one task. Here ties collapse to one
-row per key first, the distinct keys are range-partitioned, and each partition counts
-up from the number of rows in the partitions before it.
+row per key first. Keys that can only take few values (percentages, scores, counts) are
+ranked among those values. Other distinct keys are range-partitioned, and each partition
+counts up from the number of rows in the partitions before it.
 """
 
 from __future__ import annotations
@@ -14,18 +15,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.functions.exprs import ratio
-from riskmart.session import one_task_rows
 from riskmart.sources.workspace import materialize
 
 
 @dataclass(frozen=True)
 class Ranking:
-    """One rank column to add. NULL keys sort lowest."""
+    """One rank column to add. NULL keys sort lowest.
+
+    ``few`` says that the key takes few values however many rows there are: a percentage
+    or score of two digits has some ten thousand, and counts that add up to N rows have at
+    most the square root of 2 N.
+    """
 
     key: str
     out: str
     ascending: bool = True
     mode: str = "rank"  # or "percent_rank": 0..100 with two digits
+    few: bool = True
 
 
 def _order(name: str, ascending: bool) -> Column:
@@ -80,91 +86,78 @@ def rank_keys(df: DataFrame, key: str, ascending: bool = True) -> tuple[DataFram
     return ranges.select("_key", "_n", (start + within + 1).alias("_rank")), total, distinct
 
 
-def _bound(df: DataFrame, one_task: int | None) -> int:
-    return one_task_rows(df.sparkSession) if one_task is None else one_task
+def _attach(df: DataFrame, ranks: DataFrame, key: str, total: int) -> DataFrame:
+    """Add _rank to every row of ``df`` by its key.
 
-
-def _attach(
-    df: DataFrame, ranks: DataFrame, key: str, total: int, distinct: int, bound: int
-) -> DataFrame:
-    """Add _rank to every row of ``df`` by its key."""
+    A key held by more than 4/P of all rows is hot; there are fewer than P/4 such keys. They are
+    broadcast, so their rows stay where they are, and only the other rows are shuffled by key.
+    """
     same = F.col(key).eqNullSafe(F.col("_key"))
-    if distinct <= bound:
-        return df.join(F.broadcast(ranks.drop("_n")), same, "left").drop("_key")
-    # A key held by more than 4/P of all rows is hot; there are fewer than P/4 such keys,
-    # so they can be broadcast. Their rows then spread over all partitions of the second
-    # join, where every remaining key is small.
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col("_n") * slots > 4 * total
-    hot = ranks.where(is_hot).select("_key", F.col("_rank").alias("_hot"))
-    cold = ranks.where(~is_hot).select("_key", "_rank", F.lit(0).alias("_slot"))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(slots)) + 1
-    staged = (
-        df.join(F.broadcast(hot), same, "left")
-        .drop("_key")
-        .withColumn("_row_slot", F.when(F.col("_hot").isNull(), 0).otherwise(spread))
-    )
-    joined = staged.join(cold, same & (F.col("_row_slot") == F.col("_slot")), "left")
-    return joined.withColumn("_rank", F.coalesce("_hot", "_rank")).drop(
-        "_key", "_hot", "_slot", "_row_slot"
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col("_n") * parts > 4 * total
+    hot = F.broadcast(ranks.where(is_hot).select("_key", "_rank"))
+    cold = ranks.where(~is_hot).select("_key", "_rank")
+    missing = F.raise_error(F.lit("a row came without a rank: the table changed while it was ranked"))
+    spread = df.join(hot, same).drop("_key")
+    rest = df.join(hot, same, "left_anti").join(cold, same, "left").drop("_key")
+    return spread.unionByName(rest.withColumn("_rank", F.coalesce("_rank", missing.cast("bigint"))))
 
 
-def attach_rank(
-    df: DataFrame, key: str, ascending: bool = True, one_task: int | None = None
-) -> tuple[DataFrame, int]:
+def attach_rank(df: DataFrame, key: str, ascending: bool = True) -> tuple[DataFrame, int]:
     """Rows with their _rank, and how many rows there are.
 
-    ``df`` is evaluated twice: once for its keys, once for its rows.
+    ``df`` is evaluated for its keys and again for its rows: write it first if it is dear.
     """
-    ranks, total, distinct = rank_keys(df, key, ascending)
-    return _attach(df, ranks, key, total, distinct, _bound(df, one_task)), total
+    ranks, total, _ = rank_keys(df, key, ascending)
+    return _attach(df, ranks, key, total), total
 
 
-def with_global_rank(
-    df: DataFrame, ranking: Ranking, one_task: int | None = None
-) -> DataFrame:
-    """Add one rank over all rows, whatever their number."""
-    ranked, total = attach_rank(df, ranking.key, ranking.ascending, one_task)
+def with_global_rank(df: DataFrame, ranking: Ranking) -> DataFrame:
+    """Add one rank over all rows, whatever their number and keys."""
+    ranked, total = attach_rank(df, ranking.key, ranking.ascending)
     out = _finish(F.col("_rank"), F.lit(total), ranking.mode)
     return ranked.withColumn(ranking.out, out).drop("_rank")
 
 
-def with_ranks(df: DataFrame, rankings: Sequence[Ranking], rows: int) -> DataFrame:
-    """Add several ranks to a table known to hold ``rows`` rows.
+def _with_rank_of_few(df: DataFrame, base: DataFrame, ranking: Ranking) -> DataFrame:
+    """Lazy: a count per value, a window over the values, and the values joined back."""
+    order = _order("_key", ranking.ascending)
+    counts = base.groupBy(F.col(ranking.key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1
+    ranks = counts.select("_key", _finish(place, F.sum("_n").over(every), ranking.mode).alias(ranking.out))
+    same = F.col(ranking.key).eqNullSafe(F.col("_key"))
+    return df.join(F.broadcast(ranks), same, "left").drop("_key")
+
+
+def with_ranks(df: DataFrame, rankings: Sequence[Ranking]) -> DataFrame:
+    """Add several ranks, all of them taken from the same rows.
 
-    Few enough rows to sort in one task: plain windows, nothing is evaluated early.
-    More: each rank is spread, over a copy of ``df`` written once.
+    The rows are written once if a key may take many values; else nothing is evaluated early.
     """
-    if rows <= one_task_rows(df.sparkSession):
-        columns = {}
-        for r in rankings:
-            place = F.rank().over(Window.orderBy(_order(r.key, r.ascending)))
-            columns[r.out] = _finish(place, F.lit(rows), r.mode)
-        return df.withColumns(columns)
-    out = materialize(df, "ranked")
+    base = df if all(r.few for r in rankings) else materialize(df, "ranked")
+    out = base
     for r in rankings:
-        out = with_global_rank(out, r)
+        if r.few:
+            out = _with_rank_of_few(out, base, r)
+        else:
+            ranks, total, _ = rank_keys(base, r.key, r.ascending)
+            ranked = _attach(out, ranks, r.key, total)
+            out = ranked.withColumn(r.out, _finish(F.col("_rank"), F.lit(total), r.mode)).drop("_rank")
     return out
 
 
-def with_total(df: DataFrame, value: str, out: str, rows: int) -> DataFrame:
-    """Add the grand total of a column; ``df`` must be cheap to read when it is large."""
-    if rows <= one_task_rows(df.sparkSession):
-        return df.withColumn(out, F.sum(value).over(Window.partitionBy()))
+def with_total(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Add the grand total of a column, which is summed up before it meets the rows."""
     return df.withColumn(out, df.agg(F.sum(value)).scalar())
 
 
-def ordered_keys(
-    df: DataFrame, natural: str, out: str, one_task: int | None = None
-) -> DataFrame:
+def ordered_keys(df: DataFrame, natural: str, out: str) -> DataFrame:
     """Integer keys 1..n in the order of a natural id, so that reruns agree."""
     # Equal ids are told apart by their content and may fall into different partitions.
     keyed = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
     order = [F.col(natural).asc_nulls_first(), F.col("_tie")]
-    if df.count() <= _bound(df, one_task):
-        place = F.row_number().over(Window.orderBy(*order))
-        return keyed.select(place.cast("int").alias(out), *df.columns)
     ranges = _ranges(keyed, *order)
     start, _, _ = _range_starts(ranges, F.lit(1))
     place = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))

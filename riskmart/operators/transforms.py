@@ -17,6 +17,7 @@ from riskmart.functions.domains import (
 )
 from riskmart.functions.exprs import MONEY, bands, percent, ratio
 from riskmart.functions.stock import stock_status
+from riskmart.sources.workspace import materialize
 
 # --- suppliers -------------------------------------------------------------------
 
@@ -207,37 +208,36 @@ def stock_cells(
     )
 
 
-def full_grid(products: DataFrame, warehouses: DataFrame, dates: DataFrame) -> DataFrame:
-    """Every cell of the grid, counted off in parallel."""
-    size = products.count() * warehouses.count() * dates.count()
-    cells = products.sparkSession.range(size).withColumnRenamed("id", "Cell")
-    return stock_cells(cells, products, warehouses, dates)
-
-
 def draw(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a seeded hash of their unique key.
 
     The choice depends on key and seed alone, so it is the same at any parallelism. Rows
-    are counted per hash bucket; whole buckets are taken up to the one where ``n`` falls,
-    and only that bucket (1/65536 of the rows) is sorted.
+    are counted per hash bucket; whole buckets are taken up to the one where ``n`` falls.
+    That one is split by the next bits of the hash in the same way, and only the bucket where
+    ``n`` falls then, 1/2**32 of the rows, is sorted.
     """
-    bucket_bits = 16
+    bits = 16
     hashed = df.withColumn("_h", F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)))
-    hashed = hashed.withColumn("_b", F.shiftright("_h", 64 - bucket_bits))
-    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    edges = sizes.select("_b", "_rows", before.alias("_before")).where(F.col("_before") < n)
-    whole = edges.where(F.col("_before") + F.col("_rows") <= n).select("_b")
-    cut = edges.where(F.col("_before") + F.col("_rows") > n)
-    inside = hashed.join(F.broadcast(whole), "_b", "left_semi")
-    place = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
-    edge = (
-        hashed.join(F.broadcast(cut.select("_b", "_before")), "_b")
-        .withColumn("_place", place)
-        .where(F.col("_before") + F.col("_place") <= n)
-    )
-    return inside.select(*df.columns).unionByName(edge.select(*df.columns))
+    rest, left, taken = hashed, F.lit(n).cast("bigint"), []
+    for shift in (64 - bits, 64 - 2 * bits):
+        number = F.shiftright("_h", shift)  # in the order of the hash
+        sizes = rest.groupBy(number.alias("_b")).agg(F.count(F.lit(1)).alias("_rows"))
+        earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        edges = sizes.select("_b", "_rows", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        end = F.col("_before") + F.col("_rows")
+        whole = edges.where(end <= left).select("_b")
+        cut = edges.where((F.col("_before") < left) & (end > left))
+        numbered = rest.withColumn("_b", number)
+        taken.append(numbered.join(F.broadcast(whole), "_b", "left_semi").select(*df.columns))
+        rest = numbered.join(F.broadcast(cut.select("_b")), "_b", "left_semi").drop("_b")
+        left = cut.select(left - F.col("_before")).scalar()
+    place = F.row_number().over(Window.partitionBy("_h").orderBy(*keys))
+    last = rest.groupBy("_h").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select("_h", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    edge = rest.join(F.broadcast(last), "_h").withColumn("_place", place)
+    taken.append(edge.where(F.col("_before") + F.col("_place") <= left).select(*df.columns))
+    return taken[0].unionByName(taken[1]).unionByName(taken[2])
 
 
 def with_available_stock(stock: DataFrame) -> DataFrame:
@@ -256,8 +256,10 @@ def with_coverage(stock: DataFrame, demand: DataFrame) -> DataFrame:
     days = ratio(
         F.col("AvailableStock") * F.col("DemandDays"), F.col("DemandQuantity"), 1, MONEY
     )
+    # Written first: the planner then knows how small it is and leaves the stock where it is.
+    known = materialize(demand.select("ProductID", "DemandQuantity", "DemandDays"), "demand")
     return (
-        stock.join(demand.select("ProductID", "DemandQuantity", "DemandDays"), "ProductID")
+        stock.join(known, "ProductID")
         .withColumn(
             "StockCoverageDays",
             F.when(F.col("DemandQuantity") > 0, days).otherwise(F.lit(999).cast(MONEY)),
@@ -288,7 +290,7 @@ def with_utilization(stock: DataFrame, warehouses: DataFrame) -> DataFrame:
         "SnapshotDate",
         used.cast("decimal(6,2)").alias("WarehouseUtilizationPct"),
     )
-    return stock.join(rates, ["WarehouseID", "SnapshotDate"], "left")
+    return stock.join(materialize(rates, "rates"), ["WarehouseID", "SnapshotDate"], "left")
 
 
 # --- inspections -------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions.domains import RISK_LEVELS, STOCK_AT_RISK, STOCK_STATUSES
@@ -12,13 +12,14 @@ from riskmart.functions.exprs import money_sum, percent
 from riskmart.operators.ranks import Ranking, with_ranks
 from riskmart.plans import dependency, inventory, logistics, supplier_risk
 from riskmart.sources.files import register_views
+from riskmart.sources.workspace import recording, remove
 
 _RISK_PARTS = {name for name, _ in supplier_risk.SUPPLIER_WEIGHTS}
 _IMPACT_PARTS = {name for name, _ in dependency.DEPENDENCY_WEIGHTS}
 
 RISK_RANKS = [
     Ranking("RiskScore", "RiskRank", False),
-    Ranking("TotalPurchaseValue", "PurchaseValueRank", False),
+    Ranking("TotalPurchaseValue", "PurchaseValueRank", False, few=False),
     Ranking("LateShipmentPct", "LateDeliveryRank", False),
     Ranking("AvgQualityScore", "QualityRiskRank", True),
 ]
@@ -31,9 +32,8 @@ def supplier_risk_dashboard(
     star: Mapping[str, DataFrame], view: DataFrame | None = None
 ) -> DataFrame:
     shown = [c for c in supplier_risk.COLUMNS if c not in _RISK_PARTS]
-    rows = star["DimSupplier"].count()
     view = supplier_risk.supplier_risk(star) if view is None else view
-    return with_ranks(view.select(*shown), RISK_RANKS, rows)
+    return with_ranks(view.select(*shown), RISK_RANKS)
 
 
 def inventory_dashboard(star: Mapping[str, DataFrame], view: DataFrame | None = None) -> DataFrame:
@@ -120,9 +120,27 @@ def build_views(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return views
 
 
+_registered: dict[str, tuple[Mapping[str, DataFrame], list[str]]] = {}
+
+
 def register_all(star: Mapping[str, DataFrame]) -> None:
-    """The nine views as temporary views, under their usual names."""
-    register_views(build_views(star))
+    """The nine views as temporary views, under their usual names.
+
+    Views hold the latest snapshot and some ranks as they are now. A load in this session registers
+    the views of its mart again; after a load elsewhere, call this again. The tables that the
+    earlier views read are removed.
+    """
+    spark = star["DimSupplier"].sparkSession
+    with recording() as made:
+        register_views(build_views(star))
+    before = _registered.get(spark.sparkContext.applicationId, (None, []))[1]
+    _registered[spark.sparkContext.applicationId] = star, made
+    remove(spark, before)
+
+
+def registered(spark: SparkSession) -> Mapping[str, DataFrame] | None:
+    """The mart whose views are registered in this application."""
+    return _registered.get(spark.sparkContext.applicationId, (None, []))[0]
 
 
 # Columns of the two reports, and the texts of their errors.

@@ -20,7 +20,7 @@ from riskmart.functions.exprs import (
     zero_if_null,
 )
 from riskmart.operators.ranks import Ranking, with_ranks
-from riskmart.plans.supplier_risk import PROFILE, not_cancelled, per_supplier, with_share
+from riskmart.plans.supplier_risk import PROFILE, not_cancelled, with_share
 
 # Columns of the view, in order.
 COLUMNS = [
@@ -45,7 +45,7 @@ COLUMNS = [
 ]
 
 SCORES = [
-    Ranking("TotalPurchaseValue", "PurchaseExposureScore", True, "percent_rank"),
+    Ranking("TotalPurchaseValue", "PurchaseExposureScore", True, "percent_rank", few=False),
     Ranking("ProductsSupplied", "ProductExposureScore", True, "percent_rank"),
     Ranking("WarehousesSupported", "WarehouseExposureScore", True, "percent_rank"),
     Ranking("HighlyDependentProducts", "ProductConcentrationScore", True, "percent_rank"),
@@ -162,14 +162,12 @@ def supplier_exposure(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def company_dependency(star: Mapping[str, DataFrame]) -> tuple[DataFrame, int]:
-    metrics, rows = per_supplier(star, supplier_exposure(star))
-    return with_share(metrics, "CompanyPurchaseDependencyPct", rows), rows
+def company_dependency(star: Mapping[str, DataFrame]) -> DataFrame:
+    return with_share(supplier_exposure(star), "CompanyPurchaseDependencyPct")
 
 
 def dependency_scores(star: Mapping[str, DataFrame]) -> DataFrame:
-    shared, rows = company_dependency(star)
-    return with_ranks(shared, SCORES, rows)
+    return with_ranks(company_dependency(star), SCORES)
 
 
 def business_impact(star: Mapping[str, DataFrame]) -> DataFrame:

@@ -20,6 +20,7 @@ from riskmart.functions.stock import (
 )
 from riskmart.operators.ranks import attach_rank
 from riskmart.sources.schemas import FACTS
+from riskmart.sources.workspace import materialize
 
 POSITION = [
     "InventoryKey",
@@ -144,7 +145,7 @@ def inventory_scores(star: Mapping[str, DataFrame]) -> DataFrame:
     The rank runs over fact-sized data with one value (nothing at risk) on most rows,
     so only distinct values are ranked and the result is joined back.
     """
-    metrics = inventory_metrics(star)
+    metrics = materialize(inventory_metrics(star), "stock")
     ranked, rows = attach_rank(metrics, "InventoryRiskValue")
     # 70 % of any base score has two digits at most: rounding the rank part rounds the sum.
     place = ratio((F.col("_rank") - 1) * 30, F.lit(rows - 1))

@@ -6,12 +6,17 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from riskmart.functions.domains import CALENDAR
-from riskmart.operators.dimensions import build_dimension, date_dimension
+from riskmart.operators import quality
+from riskmart.operators.dimensions import build_dimension, correct_dimension, date_dimension
 from riskmart.operators.facts import build_fact, with_fact_key
-from riskmart.operators.staging import stage
-from riskmart.sources.files import read_raw_folder, write_table
-from riskmart.sources.schemas import DIMENSIONS, FACTS
+from riskmart.operators.staging import stage, typed_columns
+from riskmart.plans.dashboards import register_all, registered
+from riskmart.sources.files import malformed_rows, read_raw_folder, write_table
+from riskmart.sources.schemas import DIMENSIONS, FACTS, RAW_FILES, record_ids
+from riskmart.sources.workspace import scope
 
 PARTITIONED = {"FactInventory": ["DateKey"]}
 
@@ -26,18 +31,38 @@ def save(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def replace(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Replace a table by rows that may be read from it: written beside it first, then switched."""
+    path, beside = f"{folder.rstrip('/')}/{name}", f"{folder.rstrip('/')}/.{name}-next"
+    write_table(df, beside, partition_by=PARTITIONED.get(name, ()))
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
+    files = new.getFileSystem(conf)
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{beside} could not be put in place of {path}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def correct_table(spark: SparkSession, folder: str, name: str, corrections: DataFrame) -> DataFrame:
+    """Overwrite attributes in a stored dimension by natural id; keys and unmatched rows stay."""
+    dim = DIMENSIONS[name]
+    stored = spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+    return replace(spark, correct_dimension(stored, corrections, dim.natural, dim.key), folder, name)
+
+
 class Star(Mapping[str, DataFrame]):
     """Star schema tables below one folder, opened when first asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder.rstrip("/")
+        self._spark, self.folder = spark, folder.rstrip("/")
         self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in (*DIMENSIONS, "DimDate", *FACTS):
             raise KeyError(name)
         if name not in self._open:
-            self._open[name] = self._spark.read.parquet(f"{self._folder}/{name}")
+            self._open[name] = self._spark.read.parquet(f"{self.folder}/{name}")
         return self._open[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -47,30 +72,98 @@ class Star(Mapping[str, DataFrame]):
         return len(DIMENSIONS) + 1 + len(FACTS)
 
 
+def calendar_span(
+    staged: Mapping[str, DataFrame], least: tuple[str, str] = CALENDAR
+) -> tuple[str, str]:
+    """``least``, widened to whole years that hold every date a fact looks up."""
+    years = None
+    for fact in FACTS.values():
+        for day in fact.dates:
+            year = staged[fact.staged].select(F.year(day).alias("y"))
+            years = year if years is None else years.unionByName(year)
+    low, high = years.agg(F.min("y"), F.max("y")).first()
+    first, last = int(least[0][:4]), int(least[1][:4])
+    if low is not None and low < first:
+        least = (f"{max(low, 1):04d}-01-01", least[1])
+    if high is not None and high > last:
+        least = (least[0], f"{min(high, 9999):04d}-12-31")
+    return least
+
+
+def load_report(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    malformed: Mapping[str, DataFrame],
+    staged: Mapping[str, DataFrame],
+    star: Mapping[str, DataFrame],
+) -> DataFrame:
+    """What a load saw and kept: Step, TableName, RowCount.
+
+    Steps are malformed (lines with a wrong number of fields), raw, rejected (rows with a value that
+    does not convert), surplus (rows beyond the first of their id), staged, unmapped (staged rows
+    that find no partner for some key) and loaded.
+    """
+    steps = [
+        ("malformed", quality.table_counts(malformed)),
+        ("raw", quality.table_counts(raw)),
+        ("rejected", quality.table_counts({t: quality.rejects(df, t) for t, df in raw.items() if typed_columns(t)})),
+        ("staged", quality.table_counts(staged)),
+        ("loaded", quality.table_counts(star)),
+    ]
+    for name, fact in FACTS.items():
+        surplus = quality.surplus_rows(staged[fact.staged], record_ids(fact)[:1])
+        steps.append(("surplus", surplus.select(F.lit(fact.staged).alias("TableName"), F.col("SurplusRows").alias("RowCount"))))
+    cover = quality.mapping_coverage(spark, staged, star)
+    missing = (F.col("StagingRows") - F.col("MappedRows")).alias("RowCount")
+    steps.append(("unmapped", cover.select(F.col("FactName").alias("TableName"), missing)))
+    out = None
+    for step, rows in steps:
+        named = rows.select(F.lit(step).alias("Step"), "TableName", F.col("RowCount").cast("bigint"))
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
 def refresh(
     spark: SparkSession,
     raw_folder: str,
     mart_folder: str,
-    calendar: tuple[str, str] = CALENDAR,
-    dense_fact_keys: bool = True,
+    calendar: tuple[str, str] | None = None,
+    dense_fact_keys: bool = False,
 ) -> Star:
     """Load everything: staged tables, dimensions, then facts. Existing tables are replaced.
 
+    Without a ``calendar`` it covers the dates of the facts. Lines with a wrong number of
+    fields are listed in malformed, and what was rejected or dropped is counted in LoadReport. Views of this mart that the application has registered are registered again.
+    Fact keys have gaps unless dense ones are asked for, which costs a second write of each fact.
+
     Staged tables are written, as the rejects, duplicates and coverage reports and the
     facts all read them, and parsing the text once is cheaper than parsing it for each.
     """
     raw = read_raw_folder(spark, raw_folder)
+    mart_folder = mart_folder.rstrip("/")
     staged = {
         t: save(spark, df, f"{mart_folder}/staged", t) for t, df in stage_all(raw).items()
     }
-    dims = {
-        name: save(spark, build_dimension(staged[dim.staged], name), mart_folder, name)
-        for name, dim in DIMENSIONS.items()
+    with scope(spark):
+        dims = {
+            name: save(spark, build_dimension(staged[dim.staged], name), mart_folder, name)
+            for name, dim in DIMENSIONS.items()
+        }
+        days = date_dimension(spark, *(calendar or calendar_span(staged)))
+        dims["DimDate"] = save(spark, days, mart_folder, "DimDate")
+        for name, fact in FACTS.items():
+            rows = with_fact_key(
+                build_fact(staged[fact.staged], dims, name), name, dense_fact_keys
+            )
+            save(spark, rows, mart_folder, name)
+    star = Star(spark, mart_folder)
+    raw_folder = raw_folder.rstrip("/")
+    malformed = {
+        t: save(spark, malformed_rows(spark, f"{raw_folder}/{file}", t), f"{mart_folder}/malformed", t)
+        for t, file in RAW_FILES.items()
     }
-    dims["DimDate"] = save(spark, date_dimension(spark, *calendar), mart_folder, "DimDate")
-    for name, fact in FACTS.items():
-        rows = with_fact_key(
-            build_fact(staged[fact.staged], dims, name), name, dense_fact_keys
-        )
-        save(spark, rows, mart_folder, name)
-    return Star(spark, mart_folder)
+    save(spark, load_report(spark, raw, malformed, staged, star), mart_folder, "LoadReport")
+    shown = registered(spark)
+    if isinstance(shown, Star) and shown.folder == star.folder:
+        register_all(star)
+    return star

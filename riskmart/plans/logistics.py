@@ -38,7 +38,7 @@ COLUMNS = [
 
 SCORES = [
     Ranking("OnTimeDeliveryPct", "DeliveryPerformanceScore", True, "percent_rank"),
-    Ranking("AvgShippingCost", "CostEfficiencyScore", False, "percent_rank"),
+    Ranking("AvgShippingCost", "CostEfficiencyScore", False, "percent_rank", few=False),
     Ranking("DamageRatePct", "DamagePerformanceScore", False, "percent_rank"),
 ]
 
@@ -88,8 +88,7 @@ def with_unit_cost(carriers: DataFrame) -> DataFrame:
 
 
 def carrier_scores(star: Mapping[str, DataFrame]) -> DataFrame:
-    rows = star["DimCarrier"].count()
-    return with_ranks(with_unit_cost(carrier_details(star)), SCORES, rows)
+    return with_ranks(with_unit_cost(carrier_details(star)), SCORES)
 
 
 def carrier_composite(star: Mapping[str, DataFrame]) -> DataFrame:

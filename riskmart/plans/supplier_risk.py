@@ -19,8 +19,6 @@ from riskmart.functions.exprs import (
     zero_if_null,
 )
 from riskmart.operators.ranks import Ranking, with_ranks, with_total
-from riskmart.session import one_task_rows
-from riskmart.sources.workspace import materialize
 
 PROFILE = [
     "SupplierKey",
@@ -140,32 +138,18 @@ def supplier_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def with_share(metrics: DataFrame, out: str, rows: int) -> DataFrame:
+def with_share(metrics: DataFrame, out: str) -> DataFrame:
     """Each supplier's part of all purchase value."""
     share = percent(F.col("TotalPurchaseValue"), F.col("_all"))
-    return (
-        with_total(metrics, "TotalPurchaseValue", "_all", rows)
-        .withColumn(out, share)
-        .drop("_all")
-    )
-
-
-def per_supplier(star: Mapping[str, DataFrame], metrics: DataFrame) -> tuple[DataFrame, int]:
-    """Metrics with their row count; written once when too many for one-task ranks."""
-    rows = star["DimSupplier"].count()
-    if rows > one_task_rows(metrics.sparkSession):
-        metrics = materialize(metrics, "suppliers")
-    return metrics, rows
+    return with_total(metrics, "TotalPurchaseValue", "_all").withColumn(out, share).drop("_all")
 
 
-def dependency(star: Mapping[str, DataFrame]) -> tuple[DataFrame, int]:
-    metrics, rows = per_supplier(star, supplier_metrics(star))
-    return with_share(metrics, "PurchaseDependencyPct", rows), rows
+def dependency(star: Mapping[str, DataFrame]) -> DataFrame:
+    return with_share(supplier_metrics(star), "PurchaseDependencyPct")
 
 
 def risk_scores(star: Mapping[str, DataFrame]) -> DataFrame:
-    shared, rows = dependency(star)
-    return with_ranks(shared, SCORES, rows)
+    return with_ranks(dependency(star), SCORES)
 
 
 def composite(star: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,13 +1,9 @@
-"""Session settings the plans rely on, and the session-wide size bounds."""
+"""Session settings the plans rely on."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-ONE_TASK_ROWS = 100_000
-_ONE_TASK_KEY = "riskmart.oneTaskRows"
-
-
 def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Add the runtime settings to a session builder; sizes stay the cluster's choice."""
     return (
@@ -19,8 +15,3 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
-
-
-def one_task_rows(spark: SparkSession) -> int:
-    """Most rows that may be sorted in one task or broadcast; more take the wide way."""
-    return int(spark.conf.get(_ONE_TASK_KEY, str(ONE_TASK_ROWS)))

@@ -29,6 +29,24 @@ def read_raw(spark: SparkSession, path: str, table: str, multi_line: bool = Fals
     )
 
 
+MALFORMED = "MalformedRow"
+
+
+def malformed_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Lines with too many or too few fields: their fields as far as they go, and the line itself.
+
+    ``read_raw`` drops surplus fields and fills missing ones with NULL; these are the rows where it did.
+    Commas count outside quotes only. Line breaks inside fields are not looked for.
+    """
+    schema = raw_schema(table)
+    line = F.col("value")
+    bare = F.regexp_replace(line, '"([^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    found = spark.read.text(path).where((fields != len(schema)) & (F.trim(line) != ""))
+    parsed = F.from_csv(line, schema.simpleString()[len("struct<") : -1].replace(":", " "), {"quote": '"', "escape": '"'})
+    return found.select(parsed.alias("r"), line.alias(MALFORMED)).select("r.*", MALFORMED)
+
+
 def read_raw_folder(
     spark: SparkSession, folder: str, tables: Sequence[str] = tuple(RAW_FILES)
 ) -> dict[str, DataFrame]:

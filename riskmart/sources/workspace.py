@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,11 +30,44 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/riskmart/{label}-{uuid.uuid4().hex}"
 
 
+_open: list[list[str]] = []
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def recording() -> Iterator[list[str]]:
+    """The work tables written inside, for the caller to remove when nothing reads them any more."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.remove(made)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was written inside; frames built inside must be used up by then."""
+    with recording() as made:
+        try:
+            yield
+        finally:
+            remove(spark, made)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage, survives lost executors, and gives Catalyst the real size.
     """
     path = work_path(df.sparkSession, label)
+    for made in _open:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -96,6 +96,58 @@ add(
 )
 
 
+def _broken_lines(m: Mart) -> DataFrame:
+    """Carriers as lines without quotes: some with a comma too many, some with a field too few."""
+    path = f"{work_path(m.spark, 'landing')}/{RAW_FILES['Carriers']}"
+    head = F.lit(",".join(STAGED["Carriers"])).alias("value")
+    lines = m.raw("Carriers").select(F.expr(_LINE).alias("value"))
+    m.spark.range(1).select(head).unionByName(lines).coalesce(1).write.text(path)
+    return files.malformed_rows(m.spark, path, "Carriers").select("CarrierID", "MalformedRow")
+
+
+_LINE = (
+    "CASE WHEN CAST(SUBSTRING(CarrierID,4) AS INT)%3=0 THEN CarrierID || ',' || CarrierName || ', Ltd,' "
+    "|| CarrierType || ',' || Country || ',' || ServiceLevel WHEN CAST(SUBSTRING(CarrierID,4) AS INT)%3=1 "
+    "THEN CarrierID || ',' || CarrierName ELSE CarrierID || ',' || CarrierName || ',' || CarrierType || "
+    "',' || Country || ',' || ServiceLevel END"
+)
+add(
+    "src_05_malformed_rows",
+    _broken_lines,
+    f"SELECT CarrierID, {_LINE} AS MalformedRow FROM RawCarriers "
+    "WHERE CAST(SUBSTRING(CarrierID,4) AS INT)%3<2",
+)
+
+
+def _refreshed(m: Mart) -> DataFrame:
+    """The whole load from CSV, by what it reports."""
+    landing, folder = work_path(m.spark, "landing"), work_path(m.spark, "refreshed")
+    for t in RAW_FILES:
+        files.write_table(m.raw(t), f"{landing}/{RAW_FILES[t]}", fmt="csv")
+    load.refresh(m.spark, landing, folder, mapping.CALENDAR)
+    report = m.spark.read.parquet(f"{folder}/LoadReport")
+    return report.where("Step in ('malformed', 'raw', 'staged') or TableName like 'Fact%'")
+
+
+add(
+    "load_01_refresh_report",
+    _refreshed,
+    " UNION ALL ".join(
+        [
+            f"SELECT '{step}' AS Step, '{t}' AS TableName, COUNT(*) AS RowCount FROM {part}{t}"
+            for t in RAW_FILES
+            for step, part in (("raw", "Raw"), ("staged", "Stg"))
+        ]
+        + [f"SELECT 'malformed', '{t}', CAST(0 AS BIGINT)" for t in RAW_FILES]
+        + [f"SELECT 'loaded', '{t}', COUNT(*) FROM Built{t}" for t in FACTS]
+        + [
+            f"SELECT 'unmapped', '{t}', (SELECT COUNT(*) FROM Stg{fact.staged})-COUNT(*) FROM Built{t}"
+            for t, fact in FACTS.items()
+        ]
+    ),
+)
+
+
 def _written_orders(m: Mart) -> DataFrame:
     path = work_path(m.spark, "sink")
     files.write_table(m["FactOrders"], path)
@@ -114,10 +166,9 @@ def _refreshed_inventory(m: Mart) -> DataFrame:
 
 
 def _by_name(m: Mart) -> DataFrame:
+    """Rows of all nine views, by name."""
     db.register_all(m)
-    return m.spark.sql(
-        "SELECT SupplierID, RiskScore, RiskCategory FROM vw_supplier_risk_analysis"
-    )
+    return dq.table_counts({name: m.spark.table(name) for name in (*db.ANALYSES, *db.DASHBOARDS)})
 
 
 add(
@@ -131,7 +182,24 @@ add(
     "SELECT DateKey, COUNT(*) AS RowCount, CAST(SUM(CurrentStock) AS BIGINT) AS CurrentStock "
     "FROM FactInventory GROUP BY DateKey",
 )
-add("snk_03_named_views", _by_name, "SELECT SupplierID, RiskScore, RiskCategory FROM Sr")
+add(
+    "snk_03_named_views",
+    _by_name,
+    " UNION ALL ".join(
+        f"SELECT '{view}' AS TableName, COUNT(*) AS RowCount FROM {part}"
+        for view, part in (
+            ("vw_supplier_risk_analysis", "Sr"),
+            ("vw_supplier_dependency", "Sd"),
+            ("vw_inventory_risk", "IrRow"),
+            ("vw_logistics_performance", "Lp"),
+            ("vw_supplier_risk_dashboard", "DbSupplier"),
+            ("vw_inventory_dashboard", "IrRow"),
+            ("vw_logistics_dashboard", "Lp"),
+            ("vw_supplier_dependency_dashboard", "DbDependency"),
+            ("vw_supply_chain_executive_summary", "DbSummary"),
+        )
+    ),
+)
 
 # --- staging -----------------------------------------------------------------------
 
@@ -224,12 +292,22 @@ def _counted(prefix: str, names) -> str:
 
 add("dq_16_raw_counts", lambda m: dq.table_counts(m.raw_all()), _counted("Raw", RAW_FILES))
 add("dq_17_staged_counts", lambda m: dq.table_counts(m.staged_all()), _counted("Stg", RAW_FILES))
-add(
-    "dq_18_supplier_count",
-    lambda m: dq.table_counts({"Suppliers": m.staged("Suppliers")}),
-    _counted("Stg", ["Suppliers"]),
-)
-for _t, _n in (("Suppliers", 5), ("Orders", 10), ("Inventory", 20)):
+for _t in ("Suppliers", "Products", "Warehouses", "Carriers"):
+    add(
+        f"dq_18_{_t.lower().rstrip('s')}_count",
+        lambda m, t=_t: dq.table_counts({t: m.staged(t)}),
+        _counted("Stg", [_t]),
+    )
+for _t, _n in (
+    ("Suppliers", 5),
+    ("Products", 5),
+    ("Warehouses", 5),
+    ("Carriers", 5),
+    ("Orders", 10),
+    ("Shipments", 10),
+    ("Inventory", 20),
+    ("SupplierQuality", 10),
+):
     _cols = list(STAGED[_t])
     add(
         f"dq_19_{_t.lower()}_preview",
@@ -386,7 +464,7 @@ add(
 )
 add(
     "dim_06_ordered_keys",
-    lambda m: ordered_keys(m.staged("Inventory"), "InventoryRecordID", "Key", one_task=0).select(
+    lambda m: ordered_keys(m.staged("Inventory"), "InventoryRecordID", "Key").select(
         "Key", "InventoryRecordID"
     ),
     "SELECT CAST(ROW_NUMBER() OVER (ORDER BY InventoryRecordID) AS INT) AS Key, InventoryRecordID "
@@ -469,7 +547,7 @@ add(
 add("sr_04_combined", lambda m: sr.supplier_metrics(m), "SELECT * FROM SrAll")
 add(
     "sr_05_purchase_share",
-    lambda m: sr.dependency(m)[0].select("SupplierID", "PurchaseDependencyPct"),
+    lambda m: sr.dependency(m).select("SupplierID", "PurchaseDependencyPct"),
     "SELECT SupplierID, PurchaseDependencyPct FROM SrDep",
 )
 _SR_PARTS = [name for name, _ in sr.SUPPLIER_WEIGHTS]
@@ -513,7 +591,7 @@ add(
 add("sd_06_combined", lambda m: sd.supplier_exposure(m), "SELECT * FROM SdAll")
 add(
     "sd_07_company_share",
-    lambda m: sd.company_dependency(m)[0].select("SupplierID", "CompanyPurchaseDependencyPct"),
+    lambda m: sd.company_dependency(m).select("SupplierID", "CompanyPurchaseDependencyPct"),
     "SELECT SupplierID, CompanyPurchaseDependencyPct FROM SdDep",
 )
 _SD_PARTS = [name for name, _ in sd.DEPENDENCY_WEIGHTS]
@@ -1080,10 +1158,15 @@ def _sorted_positions(m: Mart) -> DataFrame:
         F.struct(*columns).alias("Place"),
     )
     before = F.lag("Place").over(Window.partitionBy("File").orderBy("Row"))
-    return rows.select((before > F.col("Place")).alias("Down")).agg(
+    inside = rows.select((before > F.col("Place")).alias("Down")).agg(
         F.count(F.lit(1)).alias("RowCount"),
         F.count_if(F.col("Down")).alias("OutOfOrder"),
     )
+    # One row a file: files by name must not overlap either.
+    ends = rows.groupBy("File").agg(F.min("Place").alias("First"), F.max("Place").alias("Last"))
+    earlier = F.lag("Last").over(Window.orderBy("File"))
+    between = ends.select((earlier > F.col("First")).alias("Down")).agg(F.count_if(F.col("Down")).alias("n"))
+    return inside.withColumn("OutOfOrder", F.col("OutOfOrder") + between.scalar())
 
 
 add(
@@ -1157,23 +1240,47 @@ _GRID = (
     "(SELECT SnapshotDate, ROW_NUMBER() OVER (ORDER BY SnapshotDate)-1 AS ds FROM "
     "(SELECT DISTINCT SnapshotDate FROM FactInventory))"
 )
-add("tr_13_stock_grid", lambda m: tr.full_grid(*_grid_axes(m)), _GRID)
+
+
+def _drawn_cells(m: Mart) -> DataFrame:
+    """Each order of the given table asks for one cell."""
+    axes = _grid_axes(m)
+    size = axes[0].count() * axes[1].count() * axes[2].count()
+    orders = m.sources.table("orders")
+    cells = orders.select(((F.col("o_orderkey") * 999_983 + 42) % size).alias("Cell")).distinct()
+    return tr.stock_cells(cells, *axes)
+
+
+add(
+    "tr_13_stock_grid",
+    _drawn_cells,
+    f"SELECT * FROM ({_GRID}) WHERE Cell IN (SELECT (o_orderkey*999983+42)%((SELECT COUNT(*) FROM "
+    "DimProduct)*(SELECT COUNT(*) FROM DimWarehouse)*(SELECT COUNT(DISTINCT SnapshotDate) FROM "
+    "FactInventory)) FROM orders)",
+)
 
 
 def _drawn(m: Mart) -> DataFrame:
     """What any draw must satisfy, whichever rows it picks."""
     source = m["FactInventory"].select("InventoryRecordID")
     drawn = tr.draw(source, ["InventoryRecordID"], 500)
-    return drawn.agg(
-        F.count(F.lit(1)).alias("Drawn"),
-        F.count_distinct("InventoryRecordID").alias("DistinctKeys"),
+    again = tr.draw(source.repartition(3, "InventoryRecordID"), ["InventoryRecordID"], 500)
+    both = drawn.withColumn("Again", F.lit(0)).unionByName(again.withColumn("Again", F.lit(1)))
+    per_key = both.groupBy("InventoryRecordID").agg(
+        F.count_if(F.col("Again") == 0).alias("_one"), F.count_if(F.col("Again") == 1).alias("_two")
+    )
+    return per_key.agg(
+        F.sum("_one").alias("Drawn"),
+        F.count_if(F.col("_one") > 0).alias("DistinctKeys"),
+        F.count_if(F.col("_one") != F.col("_two")).alias("Differences"),
     )
 
 
 add(
     "tr_14_draw",
     _drawn,
-    "SELECT LEAST(500, COUNT(*)) AS Drawn, LEAST(500, COUNT(*)) AS DistinctKeys FROM FactInventory",
+    "SELECT LEAST(500, COUNT(*)) AS Drawn, LEAST(500, COUNT(*)) AS DistinctKeys, "
+    "CAST(0 AS BIGINT) AS Differences FROM FactInventory",
 )
 add(
     "tr_15_available_stock",
@@ -1269,7 +1376,6 @@ add(
     lambda m: with_global_rank(
         m.staged("Shipments").select("ShipmentID", "DelayDays"),
         Ranking("DelayDays", "DelayScore", True, "percent_rank"),
-        one_task=0,
     ),
     f"SELECT ShipmentID, DelayDays, {cte.score('DelayDays NULLS FIRST')} AS DelayScore "
     "FROM StgShipments",

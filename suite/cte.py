@@ -88,11 +88,11 @@ PARTS: dict[str, str] = {
     "c_nationkey, (SELECT COUNT(*) FROM supplier) AS n FROM lineitem l JOIN orders ON "
     "l_orderkey=o_orderkey JOIN customer ON o_custkey=c_custkey)",
     "INV": f"SELECT *, {mapping.INV_STOCK} AS av FROM (SELECT *, {_steps(mapping.INV_STEPS)} FROM "
-    "part, nation, ("
+    "(SELECT *, (5-(p_partkey+sn)%5)%5 AS rest FROM part CROSS JOIN ("
     + " UNION ALL ".join(
         f"SELECT {i} AS sn, DATE '{d}' AS sd" for i, d in enumerate(mapping.SNAPSHOTS)
     )
-    + ") WHERE (p_partkey+n_nationkey+sn)%5=0)",
+    + ")) JOIN (SELECT n_nationkey, n_nationkey%5 AS rest FROM nation) USING (rest))",
     "DimDate": "SELECT CAST(strftime(d,'%Y%m%d') AS INT) AS DateKey, CAST(d AS DATE) AS FullDate, "
     f"year(d) AS YearNumber FROM generate_series(TIMESTAMP '{mapping.CALENDAR[0]}', "
     f"TIMESTAMP '{mapping.CALENDAR[1]}', INTERVAL 1 DAY) t(d)",
@@ -395,6 +395,14 @@ for _name, _fact in FACTS.items():
 _WORD = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 
 
+#: Parts that several others read.
+SHARED = {"FactInventory", "IrLatest", "IrNow", "IrRow"}
+
+
+def _kept(name: str) -> str:
+    return "MATERIALIZED " if name in SHARED else ""
+
+
 def with_parts(sql: str) -> str:
     """The query with every named part it needs in front of it."""
     needed: list[str] = []
@@ -408,4 +416,4 @@ def with_parts(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql
-    return "WITH " + ", ".join(f"{n} AS ({PARTS[n]})" for n in needed) + " " + sql
+    return "WITH " + ", ".join(f"{n} AS {_kept(n)}({PARTS[n]})" for n in needed) + " " + sql

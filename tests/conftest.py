@@ -19,11 +19,3 @@ def spark():
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
-
-
-@pytest.fixture
-def wide(spark):
-    """Every size bound at 0: nothing counts as small."""
-    spark.conf.set("riskmart.oneTaskRows", "0")
-    yield spark
-    spark.conf.unset("riskmart.oneTaskRows")

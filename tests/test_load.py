@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from riskmart.operators import quality as dq
 from riskmart.plans import dashboards as db
-from riskmart.plans.load import refresh, save
+from riskmart.plans.load import Star, correct_table, refresh, save
 from riskmart.sources import workspace
-from riskmart.sources.files import write_table
+from riskmart.sources.files import malformed_rows, write_table
 from riskmart.sources.schemas import DIMENSIONS, FACTS, RAW_FILES
 from suite import mapping
 from suite.mart import Mart
@@ -27,7 +27,7 @@ def landing(spark, tmp_path_factory):
 
 def test_refresh_builds_the_whole_mart_and_can_be_repeated(spark, landing, tmp_path):
     folder = str(tmp_path / "mart")
-    star = refresh(spark, landing, folder, mapping.CALENDAR)
+    star = refresh(spark, landing, folder, mapping.CALENDAR, dense_fact_keys=True)
     assert len(star) == 9 and set(star) == {*DIMENSIONS, "DimDate", *FACTS}
     with pytest.raises(KeyError):
         star["stg"]
@@ -55,12 +55,66 @@ def test_refresh_builds_the_whole_mart_and_can_be_repeated(spark, landing, tmp_p
 
     first = shown(star)
     assert len(first[1]) == counts["DimSupplier"]
-    again = refresh(spark, landing, folder, mapping.CALENDAR)
-    assert shown(again) == first
+    again = refresh(spark, landing, folder, dense_fact_keys=True)
+    assert again["DimDate"].count() > 365 * 5
+    assert shown(refresh(spark, landing, folder, mapping.CALENDAR, dense_fact_keys=True)) == first
+    report = {(r.Step, r.TableName): r.RowCount for r in spark.read.parquet(f"{folder}/LoadReport").collect()}
+    assert all(report["loaded", t] == n for t, n in counts.items())
+    assert report["raw", "Orders"] == report["staged", "Orders"] == cover["FactOrders"].StagingRows
+    assert report["rejected", "Orders"] > 0 and report["unmapped", "FactOrders"] > 0
     inventory = star["FactInventory"]
     assert inventory.inputFiles()[0].split("/")[-2].startswith("DateKey=")
 
 
+def test_views_follow_a_later_load(spark, landing, tmp_path, monkeypatch):
+    """The same view names show the new month, and the tables of the old views are gone."""
+    folder, scratch = str(tmp_path / "mart"), tmp_path / "work"
+    monkeypatch.setattr(workspace, "work_root", lambda spark: str(scratch))
+    refresh(spark, landing, folder, mapping.CALENDAR)
+    db.register_all(Star(spark, folder))
+    one = spark.table("vw_inventory_risk").agg(F.max("SnapshotDate")).first()[0]
+    before = len(list((scratch / "riskmart").iterdir()))
+    later = str(tmp_path / "later")
+    mart = Mart.open(spark, SF)
+    for table, name in RAW_FILES.items():
+        rows = mart.raw(table)
+        if table == "Inventory":
+            new = F.when(F.col("SnapshotDate") == "2001-10-31", "2001-11-30").otherwise(F.col("SnapshotDate"))
+            rows = rows.withColumn("SnapshotDate", new)
+        write_table(rows, f"{later}/{name}", fmt="csv")
+    refresh(spark, later, folder, mapping.CALENDAR)
+    for view in (*db.ANALYSES, *db.DASHBOARDS):
+        assert spark.table(view).count() > 0
+    assert (str(one), str(spark.table("vw_inventory_risk").agg(F.max("SnapshotDate")).first()[0])) == ("2001-10-31", "2001-11-30")
+    assert len(list((scratch / "riskmart").iterdir())) == before
+
+
+def test_scope_leaves_no_work_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "work_root", lambda spark: str(tmp_path))
+    with workspace.scope(spark):
+        assert workspace.materialize(spark.range(3), "t").count() == 3
+    assert list((tmp_path / "riskmart").iterdir()) == []
+
+
+def test_malformed_rows_are_reported(spark, tmp_path):
+    path = tmp_path / "carriers.csv"
+    header = "CarrierID,CarrierName,CarrierType,Country,ServiceLevel"
+    path.write_text(f'{header}\nC1,A, B,Air,India,Express\nC2,"A, B",Air,India,Express\nC3,A,Air\n')
+    got = {r.CarrierID: r.MalformedRow for r in malformed_rows(spark, str(path), "Carriers").collect()}
+    assert got == {"C1": "C1,A, B,Air,India,Express", "C3": "C3,A,Air"}
+
+
+def test_corrections_are_written_back(spark, tmp_path):
+    mart, folder = Mart.open(spark, SF), str(tmp_path)
+    save(spark, mart["DimSupplier"], folder, "DimSupplier")
+    before = {r.SupplierID: r.asDict() for r in spark.read.parquet(f"{folder}/DimSupplier").collect()}
+    changed = sorted(before)[:3]
+    fixes = mart["DimSupplier"].drop("SupplierKey").where(F.col("SupplierID").isin(changed)).withColumn("Country", F.lit(None).cast("string"))
+    correct_table(spark, folder, "DimSupplier", fixes)
+    after = {r.SupplierID: r.asDict() for r in spark.read.parquet(f"{folder}/DimSupplier").collect()}
+    assert after == {k: v | ({"Country": None} if k in changed else {}) for k, v in before.items()}
+
+
 def test_save_replaces_the_table(spark, tmp_path):
     for n in (10, 3):
         saved = save(spark, spark.range(n).withColumn("DateKey", F.lit(1)), str(tmp_path), "T")

@@ -6,6 +6,7 @@ import pytest
 
 from riskmart.operators import facts as fct
 from riskmart.operators import quality as dq
+from riskmart.operators import transforms as tr
 from riskmart.operators.ranks import Ranking, with_global_rank
 from riskmart.plans import dashboards as db
 from riskmart.plans import dependency as sd
@@ -55,6 +56,7 @@ def test_inventory_reads_one_partition_and_has_no_global_window(spark, mart):
     text = plan(df)
     assert "SinglePartition" not in text
     latest = ir.latest_snapshot(mart["FactInventory"], mart["DimDate"]).first().LatestDateKey
+    text = plan(ir.current_inventory(mart))
     assert re.search(rf"PartitionFilters: \[[^\]]*DateKey#\d+ = {latest}", text)
 
 
@@ -79,9 +81,27 @@ def test_fact_load_joins_by_sort_merge_when_dimensions_are_large(spark, mart):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_small_sides_leave_the_stock_where_it_is(spark, mart):
+    """The broadcast limit lies between the small and the large side."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    stock = mart.staged("Inventory")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+        demand = tr.daily_demand(mart.staged("Orders"), mart.staged("Products"))
+        for df in (
+            tr.with_coverage(stock.drop("StockCoverageDays"), demand),
+            tr.with_utilization(stock.drop("WarehouseUtilizationPct"), mart.staged("Warehouses")),
+        ):
+            text = plan(df)
+            assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+            assert "hashpartitioning" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_wide_ranks_have_no_single_task(mart):
     df = with_global_rank(
-        mart["FactOrders"].select("OrderID", "OrderValue"), Ranking("OrderValue", "r"), 0
+        mart["FactOrders"].select("OrderID", "OrderValue"), Ranking("OrderValue", "r")
     )
     text = plan(df)
     assert "SinglePartition" not in text and "Window" in text

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from riskmart.functions.domains import STOCK_STATUSES
+from riskmart.functions.domains import RISK_LEVELS, STOCK_STATUSES
+from riskmart.plans.dashboards import inventory_risk_report, supplier_risk_report
 from riskmart.plans import dependency as sd
 from riskmart.plans import inventory as ir
 from riskmart.plans import logistics as lp
@@ -59,10 +60,16 @@ def test_scores_stay_in_range(mart):
         assert view.where(~F.col(score).between(0, 100)).count() == 0
 
 
-def test_spreading_ranks_changes_nothing(wide, mart):
-    def rows():
-        return {tuple(r) for v in (sr.supplier_risk, lp.logistics_performance) for r in v(mart).collect()}
-
-    spread = rows()
-    wide.conf.set("riskmart.oneTaskRows", "100000")
-    assert rows() == spread
+def test_order_of_reports_and_top_lists(mart):
+    """What the comparison of row bags can not see."""
+    view = sr.supplier_risk(mart).cache()
+    for level in RISK_LEVELS:
+        got = [(r.RiskScore, r.TotalPurchaseValue, r.SupplierID) for r in supplier_risk_report(view, level).collect()]
+        assert got == sorted(got, key=lambda r: (-r[0], -r[1], r[2]))
+    stock = ir.inventory_risk(mart).cache()
+    for status in STOCK_STATUSES:
+        rows = inventory_risk_report(stock, status).collect()
+        got = [(r.InventoryRiskScore, r.InventoryRiskValue, r.ProductID, r.WarehouseID) for r in rows]
+        assert got == sorted(got, key=lambda r: (-r[0], -r[1], r[2], r[3]))
+    view.unpersist()
+    stock.unpersist()

@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from riskmart.operators.ranks import (
     Ranking,
+    _attach,
     dense_keys,
     ordered_keys,
+    rank_keys,
     with_global_rank,
     with_ranks,
 )
@@ -19,11 +21,12 @@ def rows_with_ties(spark, n=4000):
 
 
 @pytest.mark.parametrize("ascending", [True, False])
-@pytest.mark.parametrize("one_task", [0, 100_000])
+@pytest.mark.parametrize("few", [True, False])
 @pytest.mark.parametrize("mode", ["rank", "percent_rank"])
-def test_global_rank_equals_window(spark, ascending, one_task, mode):
+def test_global_rank_equals_window(spark, ascending, few, mode):
     df = rows_with_ties(spark)
-    got = with_global_rank(df, Ranking("k", "r", ascending, mode), one_task)
+    ranking = Ranking("k", "r", ascending, mode, few)
+    got = with_ranks(df, [ranking]) if few else with_global_rank(df, ranking)
     order = F.col("k").asc_nulls_first() if ascending else F.col("k").desc_nulls_last()
     place = F.rank().over(Window.orderBy(order))
     if mode == "percent_rank":
@@ -36,7 +39,7 @@ def test_global_rank_equals_window(spark, ascending, one_task, mode):
 
 def test_rank_of_text_and_of_identical_rows(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("b",), (None,)], "k string")
-    got = with_global_rank(df, Ranking("k", "r"), 0)
+    got = with_global_rank(df, Ranking("k", "r"))
     assert sorted((r.k or "", r.r) for r in got.collect()) == [
         ("", 1), ("a", 2), ("b", 3), ("b", 3), ("b", 3),
     ]
@@ -46,28 +49,59 @@ def test_rank_of_text_and_of_identical_rows(spark):
 def test_percent_rank_of_one_row_or_equal_rows_is_zero(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "k int")
     r = Ranking("k", "r", True, "percent_rank")
-    assert {x.r for x in with_global_rank(df, r, 0).collect()} == {0}
-    assert {x.r for x in with_ranks(df, [r], len(keys)).collect()} == {0}
+    assert {x.r for x in with_global_rank(df, r).collect()} == {0}
+    assert {x.r for x in with_ranks(df, [r]).collect()} == {0}
 
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k int")
-    assert with_global_rank(df, Ranking("k", "r"), 0).count() == 0
+    assert with_global_rank(df, Ranking("k", "r")).count() == 0
 
 
-def test_wide_ranks_equal_small(wide):
-    df = rows_with_ties(wide, 500)
-    specs = [Ranking("k", "a"), Ranking("k", "b", False, "percent_rank")]
-    big = {tuple(r) for r in with_ranks(df, specs, 500).collect()}
-    wide.conf.set("riskmart.oneTaskRows", "100000")
-    small = {tuple(r) for r in with_ranks(df, specs, 500).collect()}
-    assert big == small
+def test_ranks_of_many_values_equal_those_of_few(spark):
+    df = rows_with_ties(spark, 500)
+    specs = [("k", "a", True, "rank"), ("k", "b", False, "percent_rank")]
+    many, few = ({tuple(r) for r in with_ranks(df, [Ranking(*s, few) for s in specs]).collect()} for few in (False, True))
+    assert many == few and len(many) == 500
 
 
-@pytest.mark.parametrize("one_task", [0, 100_000])
-def test_ordered_keys(spark, one_task):
+@pytest.mark.parametrize("hot", [0, None])
+def test_no_task_gets_the_rows_of_a_hot_key(spark, hot):
+    """Half of the rows hold one key, nothing is broadcast on its own: shares stay near 4/P."""
+    n, parts = 40_000, 32
+    i = F.col("id")
+    key = F.when(i % 2 == 0, F.lit(hot)).otherwise(i + 1).cast("bigint")
+    settings = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, n, 1, parts).select("id", key.alias("k"))
+        got = with_global_rank(df, Ranking("k", "r"))
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == n and max(sizes) < 4 * n / parts
+        order = Window.orderBy(F.col("k").asc_nulls_first())
+        want = df.withColumn("w", F.rank().over(order)).select("id", "w")
+        assert got.join(want, "id").where("r <> w").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_row_without_a_rank_is_an_error(spark):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    ranks, total, _ = rank_keys(df.where("k < 4"), "k")
+    with pytest.raises(Exception, match="without a rank"):
+        _attach(df, ranks, "k", total).collect()
+
+
+def test_ordered_keys(spark):
     df = spark.range(1000).select(F.format_string("ID%05d", 999 - F.col("id")).alias("n"), "id")
-    got = ordered_keys(df, "n", "key", one_task)
+    got = ordered_keys(df, "n", "key")
     assert [(r.key, r.n) for r in got.orderBy("key").collect()] == [
         (i + 1, f"ID{i:05d}") for i in range(1000)
     ]
@@ -75,7 +109,7 @@ def test_ordered_keys(spark, one_task):
 
 def test_ordered_keys_stay_unique_with_equal_ids(spark):
     df = spark.range(300).select(F.lit("same").alias("n"), (F.col("id") % 7).alias("x"))
-    got = ordered_keys(df, "n", "key", 0)
+    got = ordered_keys(df, "n", "key")
     assert sorted(r.key for r in got.collect()) == list(range(1, 301))
 
 

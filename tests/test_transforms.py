@@ -116,7 +116,8 @@ def test_grid_numbers_every_cell_once(spark):
         return keyed.withColumn("Position", F.col("Position").cast("bigint") - 1)
 
     axes = axis("P", "abc"), axis("W", "xy"), axis("D", "12")
-    got = {r.Cell: (r.D, r.P, r.W) for r in tr.full_grid(*axes).collect()}
+    every = spark.range(12).withColumnRenamed("id", "Cell")
+    got = {r.Cell: (r.D, r.P, r.W) for r in tr.stock_cells(every, *axes).collect()}
     want = [(d, p, w) for d in "12" for p in "abc" for w in "xy"]
     assert [got[i] for i in range(12)] == want
     cells = spark.createDataFrame([(11,), (0,)], "Cell bigint")
