@@ -21,6 +21,7 @@ from riskmart.functions.exprs import (
 )
 from riskmart.operators.ranks import Ranking, with_ranks
 from riskmart.plans.supplier_risk import PROFILE, not_cancelled, with_share
+from riskmart.sources.workspace import materialize
 
 # Columns of the view, in order.
 COLUMNS = [
@@ -70,21 +71,24 @@ def supplier_product_spend(orders: DataFrame) -> DataFrame:
     return product_purchases(orders).select("SupplierKey", "ProductKey", "SupplierProductValue")
 
 
+def _spend_of(pairs: DataFrame) -> DataFrame:
+    total = money_sum(F.col("SupplierProductValue"))
+    return pairs.groupBy("ProductKey").agg(total.alias("TotalProductSpend"))
+
+
 def product_spend(orders: DataFrame) -> DataFrame:
-    """Straight from the orders: the partial sums leave one row per product and task."""
-    return (
-        not_cancelled(orders)
-        .groupBy("ProductKey")
-        .agg(money_sum(F.col("OrderValue")).alias("TotalProductSpend"))
-    )
+    return _spend_of(product_purchases(orders))
 
 
 def product_dependency(orders: DataFrame) -> DataFrame:
-    """Supplier's share of each product it delivers, with the sums behind it."""
+    """Supplier's share of each product it delivers, with the sums behind it.
+
+    The sums per supplier and product are written once; the product totals come from them.
+    """
+    pairs = materialize(product_purchases(orders), "pairs")
     share = percent(F.col("SupplierProductValue"), F.col("TotalProductSpend"))
     return (
-        product_purchases(orders)
-        .join(product_spend(orders), "ProductKey")
+        pairs.join(_spend_of(pairs), "ProductKey")
         .withColumn("SupplierProductDependencyPct", share)
         .drop("TotalProductSpend")
     )
