@@ -19,13 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.tables import arrow, only, rows
+from riskmart.llm.tables import arrow, draw, only, rows
 from riskmart.llm.textbytes import flat, slices
 
 TRAIN_DOCS = 400  # per language, drawn by a hash of the document number
+BROADCAST_ROWS = 200_000  # drawn numbers, up to which they are broadcast to the documents
 UNIT = 512
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -56,14 +57,11 @@ def train(labelled: DataFrame, docs_per_language: int = TRAIN_DOCS) -> Ppm:
     doc_id, with their whole texts; only counts of strings of up to four bytes go to the driver.
     Null text or language, and empty texts, teach nothing.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    sample = (
-        only(labelled, doc_id="long", text="string", lang="string")
-        .where("lang is not null and length(text) > 0")
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= docs_per_language)
-        .select("lang", "text")
-    )
+    plain = only(labelled, doc_id="long", text="string", lang="string").where("lang is not null and length(text) > 0")
+    chosen = draw(plain.select("doc_id", "lang"), "lang", docs_per_language)
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    sample = plain.join(chosen, ["doc_id", "lang"]).select("lang", "text")
     schema = arrow("lang string, gram long, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,26 +15,26 @@ from __future__ import annotations
 import itertools
 import math
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.tables import arrow, only, rows
+from riskmart.llm.scratch import Scratch
+from riskmart.llm.tables import arrow, draw, only, rows
 from riskmart.llm.textbytes import slices
 
 TRAIN_TOXIC, TRAIN_OTHER = 2000, 6000  # labelled rows learned from at most, drawn by a hash of doc_id
 LANDMARKS = 48
-CANDIDATES = 3000
+STRINGS, CANDIDATES = 50_000, 3000  # strings of toxic texts counted elsewhere too, and the most telling of them
 ORDER, DECAY, FLOOR = 4, 0.7, 0.2
 GRAM = 5  # letters of a candidate string inside a word; whole words of 4 to 12 letters are candidates too
 LONGEST = 32  # a longer word is described by overlapping stretches of this length
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_][\s.*_-]+){3,}[^\W\d_](?!\w)")
 _SENTENCE = re.compile(r"[.!?]*\n+|[.!?]+\s")
@@ -113,10 +113,13 @@ class Describer:
             at.append(near)
             which.append(np.full(len(near), k))
         word, landmark = np.concatenate(at), np.concatenate(which)
+        order = np.argsort(word, kind="stable")  # callers hand words by length: blocks stay narrow
+        word, landmark = word[order], landmark[order]
         value = np.zeros(len(word))
-        for a in range(0, len(word), 20_000):
-            part = slice(a, a + 20_000)
-            value[part] = kernel(x, self.points, word[part], landmark[part])
+        for a in range(0, len(word), 10_000):
+            part = slice(a, a + 10_000)
+            width = max(map(len, words[word[a] : word[part][-1] + 1]))
+            value[part] = kernel(x[:, :width], self.points, word[part], landmark[part])
         value = np.minimum(value * self.scale[landmark] ** 2, 1.0)
         keep = value >= FLOOR
         return word[keep], landmark[keep], value[keep]
@@ -138,18 +141,18 @@ class Words(dict):
         if not self.describer.landmarks:
             return
         split.sort(key=lambda pair: len(pair[1]))
-        for a in range(0, len(split), 50_000):
-            part = split[a : a + 50_000]
+        for a in range(0, len(split), 20_000):
+            part = split[a : a + 20_000]
             for i, k, v in zip(*(x.tolist() for x in self.describer.values([s for _, s in part])), strict=True):
                 word = part[i][0]
                 if self[word] is None:
                     self[word] = {}
                 self[word][k] = max(v, self[word].get(k, 0.0))
 
-    def vectors(self, text: str) -> np.ndarray:
-        """(sentences with any value, landmarks); all words of the text must have been met."""
+    def vectors(self, text: list[list[str]]) -> np.ndarray:
+        """(sentences with any value, landmarks); all words of the sentences must have been met."""
         out = []
-        for sentence in sentences(text):
+        for sentence in text:
             found = [d for d in map(self.__getitem__, sentence) if d]
             if found:
                 row = np.zeros(len(self.describer.landmarks))
@@ -160,10 +163,9 @@ class Words(dict):
         return np.array(out).reshape(len(out), len(self.describer.landmarks))
 
     def describe(self, texts: list[str]) -> list[np.ndarray]:
-        split = [set(itertools.chain.from_iterable(sentences(t))) for t in texts]
-        self.meet(set().union(*split))
-        none = np.zeros((0, len(self.describer.landmarks)))
-        return [self.vectors(t) if any(map(self.__getitem__, w)) else none for t, w in zip(texts, split, strict=True)]
+        split = [sentences(t) for t in texts]
+        self.meet(set().union(*itertools.chain.from_iterable(split)))
+        return [self.vectors(t) for t in split]
 
 
 @dataclass
@@ -264,36 +266,42 @@ def fit(landmarks: list[str], texts: list[tuple[int, np.ndarray]]) -> Model:
     return model
 
 
-def train(labelled: DataFrame) -> Model | None:
-    """``labelled`` (doc_id, text, toxic): learn from a bounded sample; None if it lacks either label.
+def train(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """``docs`` (doc_id, text), ``labels`` (doc_id, toxic): learn from a bounded sample; None if it lacks either label.
 
-    At most TRAIN_TOXIC toxic and TRAIN_OTHER other rows, those that come first by a hash of doc_id,
-    with their whole texts. Counts of the candidate strings are summed per task and by Spark; only
-    the best CANDIDATES strings, and the sentences of the sample that have any value, reach the driver.
+    At most TRAIN_TOXIC toxic and TRAIN_OTHER other labels, those that come first by a hash of doc_id,
+    with the whole texts of their documents. Strings are counted per task and summed by Spark. The driver
+    gets the counts of the STRINGS most frequent in toxic texts, and the sentences of the sample that have any value.
     """
-    plain = only(labelled, doc_id="long", text="string", toxic="int").where("text is not null and toxic in (0, 1)")
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    most = F.when(F.col("toxic") == 1, TRAIN_TOXIC).otherwise(TRAIN_OTHER)
-    sample = plain.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(TRAIN_TOXIC, TRAIN_OTHER))
-    sample = sample.where(F.col("n") <= most).select("text", "toxic").repartition(16).persist()
+    own = only(labels, doc_id="long", toxic="int").where("toxic in (0, 1)")
+    chosen = draw(own.where("toxic = 1"), "toxic", TRAIN_TOXIC).unionByName(draw(own.where("toxic = 0"), "toxic", TRAIN_OTHER))
+    # A few thousand numbers at most: the documents stay where they are.
+    plain = only(docs, doc_id="long", text="string").where("text is not null")
+    sample = plain.join(F.broadcast(chosen), "doc_id").select("text", "toxic").repartition(16).persist()
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not (sizes.get(0) and sizes.get(1)):
         sample.unpersist()
         return None
-    counted = arrow("gram string, toxic long, other long")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                found[toxic].update(grams(text))
-        names = list(found[0] | found[1])
-        yield rows(counted, names, [found[1][g] for g in names], [found[0][g] for g in names])
-
-    both = sample.mapInArrow(count, "gram string, toxic long, other long").groupBy("gram").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
-    lift = F.col("t") / sizes[1] - 3 * F.col("o") / sizes[0]
-    best = both.where((F.col("t") >= 2) & (lift > 0)).orderBy(lift.desc(), "gram").limit(CANDIDATES).collect()
-    counts = {r["gram"]: (r["t"], r["o"]) for r in best}
+    counted = arrow("gram string, n long")
+
+    def holding(part: DataFrame, among: set[str] | None) -> DataFrame:
+        """(gram, n): texts of the sample that hold each string."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: Counter = Counter()
+            for batch in batches:
+                for text in batch.column("text").to_pylist():
+                    found.update(grams(text) if among is None else grams(text) & among)
+            yield rows(counted, list(found), list(found.values()))
+
+        return part.mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+    often = holding(sample.where("toxic = 1"), None).where(F.col("n") >= max(2, sizes[1] // 200))
+    marked = {r["gram"]: r["n"] for r in often.orderBy(F.desc("n"), "gram").limit(STRINGS).collect()}
+    plain_counts = {r["gram"]: r["n"] for r in holding(sample.where("toxic = 0"), set(marked)).collect()}
+    lift = {g: n / sizes[1] - 3 * plain_counts.get(g, 0) / sizes[0] for g, n in marked.items()}
+    best = sorted((g for g in lift if lift[g] > 0), key=lambda g: (-lift[g], g))[:CANDIDATES]
+    counts = {g: (marked[g], plain_counts.get(g, 0)) for g in best}
     wanted = set(counts)
 
     def which(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,18 +318,15 @@ def train(labelled: DataFrame) -> Model | None:
         words = Words(landmarks)
         for batch in batches:
             found = words.describe(batch.column("text").to_pylist())
-            yield rows(arrow("toxic int, values array<double>"), batch.column("toxic"), [v.ravel().tolist() for v in found])
+            yield rows(arrow("toxic int, vectors binary"), batch.column("toxic"), [v.astype("<f4").tobytes() for v in found])
 
-    seen = sample.mapInArrow(describe, "toxic int, values array<double>").collect()
+    seen = sample.mapInArrow(describe, "toxic int, vectors binary").collect()
     sample.unpersist()
-    texts = sorted(((r["toxic"], tuple(r["values"])) for r in seen))
-    return fit(landmarks, [(t, np.array(v).reshape(-1, len(landmarks))) for t, v in texts])
+    texts = sorted((r["toxic"], bytes(r["vectors"])) for r in seen)
+    return fit(landmarks, [(t, np.frombuffer(v, "<f4").astype(float).reshape(-1, len(landmarks))) for t, v in texts])
 
 
 SCORED = "doc_id long, score double, predicted int"
-_kept: dict[str, Words] = {}
-
-
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, score, predicted for each row; every word of every text counts.
 
@@ -331,14 +336,12 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     plain = only(docs, doc_id="long", text="string")
     if model is None:
         return plain.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    schema, key = arrow(SCORED), uuid.uuid4().hex
+    schema = arrow(SCORED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _kept:
-            _kept.clear()
-            _kept[key] = Words(model.landmarks)
+        words = Words(model.landmarks)
         for batch in itertools.chain.from_iterable(map(slices, batches)):
-            found = _kept[key].describe([x or "" for x in batch.column("text").to_pylist()])
+            found = words.describe([x or "" for x in batch.column("text").to_pylist()])
             scores = [model.score(v) for v in found]
             yield rows(schema, batch.column("doc_id"), scores, [int(s >= 0.5) for s in scores])
 
@@ -346,10 +349,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Train on the labelled documents whose crc32(doc_id) mod 5 is not 0."""
-    own = only(labels, doc_id="long", toxic="int").where("toxic in (0, 1)")
+    """Train on the labels whose crc32(doc_id) mod 5 is not 0."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    return train(only(docs, doc_id="long", text="string").join(own, "doc_id").where(fold != 0))
+    return train(docs, labels.where(fold != 0))
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -361,4 +363,5 @@ def score_held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents not predicted toxic; all columns are kept, and rows with a null doc_id stay."""
     toxic = score(docs, learned(docs, labels)).where("predicted = 1").select("doc_id").distinct()
+    toxic = Scratch(docs.sparkSession, "toxicity").save(toxic, "toxic")
     return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)

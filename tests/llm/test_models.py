@@ -118,7 +118,7 @@ def spaced(word, r):
 @pytest.mark.parametrize("change", [lambda w, r: w, spaced, lambda w, r: " ".join(w)])
 def test_toxicity_held_out(spark, change):
     train = spark.createDataFrame(insulting(1200, 1, lambda w, r: w), "doc_id long, text string, toxic int")
-    model = toxicity.train(train)
+    model = toxicity.train(train, train)
     rows = insulting(200, 1, change)
     got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs(spark, [(1000 + i, t) for i, t, _ in rows]), model).collect()}
     wrong = [i for i, _, y in rows if got[1000 + i] != y]
