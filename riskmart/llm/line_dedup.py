@@ -4,8 +4,9 @@ A line is cut into ``edits`` + 1 segments. A line within that many edits of it h
 unchanged, and not far from its place: for each segment and each length the other line may have, only a
 few starting places can matter. So each line enters an index with its segments, by length and
 segment number, and probes the index of its own and the next shorter lengths with the substrings at
-those places. Pairs that meet are compared first by a parity sketch of their letters, which an edit
-changes in at most two bits, and then by a banded bit-parallel edit distance.
+those places. Both are rows of one table that is shuffled once and joined to itself. Pairs that meet
+are compared first by parity sketches of their letters and letter pairs, of which an edit changes few
+bits, and then by a banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from riskmart.llm.graph import components
 from riskmart.llm.scratch import Scratch
 from riskmart.llm.tables import arrow, only, rows
-from riskmart.llm.textbytes import mix, powers, slices, span_hash
+from riskmart.llm.textbytes import mix, powers, slices
 
 EDITS, MIN_CHARS = 2, 20
 BROADCAST_LINES = 100_000  # lines whose text is wanted, up to which they are broadcast to the documents
@@ -76,8 +77,25 @@ def lines(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return points, text, number, start, end
 
 
-def _line_hash(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return span_hash(mix(points.astype(np.uint64) + np.uint64(1)), start, end).view(np.int64)
+#: For each code point: its value in hashes, and its bit among the letter parities.
+_VALUES = mix(np.arange(1, 0x110001, dtype=np.uint64))
+_LETTERS = np.uint64(1) << (mix(np.arange(77, 0x110000 + 77, dtype=np.uint64)) >> np.uint64(59))
+
+
+class Spans:
+    """Hashes of any stretches of the texts."""
+
+    def __init__(self, points: np.ndarray):
+        n = len(points)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_VALUES[points] * powers(n), out=self.sums[1:])
+        self.inverse = powers(n + 1, pow(int(powers(2)[1]), -1, 1 << 64))
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[start]) * self.inverse[start]
+
+    def lines(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix(self.hash(start, end) + (end - start).astype(np.uint64)).view(np.int64)
 
 
 OCCURRENCES = "doc_id long, tid int, number int, line long"
@@ -92,12 +110,12 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
             long = np.flatnonzero(end - start >= min_chars)
             at = pa.array(text[long])
             ids = [batch.column(c).take(at) for c in ("doc_id", "tid")]
-            yield rows(schema, *ids, number[long], _line_hash(points, start[long], end[long]))
+            yield rows(schema, *ids, number[long], Spans(points).lines(start[long], end[long]))
 
     return docs.mapInArrow(run, OCCURRENCES)
 
 
-KEYS = "key long, line long, sketch int"
+KEYS = "key long, line long, sketch long, probe int"
 
 
 def segments(n: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,50 +126,56 @@ def segments(n: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.ndarray]
     return i * short + before, short + (i >= parts - longer)
 
 
-def keys(points: np.ndarray, start: np.ndarray, end: np.ndarray, edits: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of the index segments, or of all places that may hold a segment of a line as long or shorter."""
-    values = mix(points.astype(np.uint64) + np.uint64(1))
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values)), out=sums[1:])
-    inverse = powers(len(values) + 1, pow(int(powers(2)[1]), -1, 1 << 64))
+def keys(spans: Spans, start: np.ndarray, end: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key, probe): the places that may hold a segment of a line as long or shorter.
+
+    Those that are the line's own segments make its index (probe 0), and probe lines of the same length too.
+    """
     size = end - start
-    which, found = [], []
-    for shorter in range(edits + 1 if probe else 1):
+    which, found, probes = [], [], []
+    for shorter in range(edits + 1):
         n = size - shorter
         for i in range(edits + 1):
             place, length = segments(n, i, edits)
-            low = max(-i, shorter - (edits - i)) if probe else 0
-            high = min(i, shorter + (edits - i)) if probe else 0
-            for shift in range(low, high + 1):
+            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
                 a = place + shift
                 fits = np.flatnonzero((n > edits) & (a >= 0) & (a + length <= size))
                 a = start[fits] + a[fits]
-                h = (sums[a + length[fits]] - sums[a]) * inverse[a]
+                h = spans.hash(a, a + length[fits])
                 label = (n[fits].astype(np.uint64) << np.uint64(3)) + np.uint64(i)
                 which.append(fits)
                 found.append(mix(h + mix(label + np.uint64(1))).view(np.int64))
-    return np.concatenate(which), np.concatenate(found)
+                probes.append(np.full(len(fits), int(shorter > 0 or shift != 0), np.int32))
+    return np.concatenate(which), np.concatenate(found), np.concatenate(probes)
 
 
 def sketches(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """32 parities of the letters of each line: an insertion or deletion changes one, a substitution two."""
-    bit = np.uint32(1) << (mix(points.astype(np.uint64) + np.uint64(77)) >> np.uint64(59)).astype(np.uint32)
-    sums = np.zeros(len(points) + 1, np.uint32)
-    np.bitwise_xor.accumulate(bit, out=sums[1:])
-    return (sums[end] ^ sums[start]).view(np.int32)
+    """32 parities of the letters of each line, then 32 of its pairs of neighbouring letters.
+
+    An edit changes at most two of the former and four of the latter.
+    """
+    letter, value = _LETTERS[points], _VALUES[points]
+    both = (value[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ value[1:]
+    pair = np.uint64(1) << (((both * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(59)) + np.uint64(32))
+    letters, pairs = np.zeros(len(points) + 1, np.uint64), np.zeros(len(points) + 1, np.uint64)
+    np.bitwise_xor.accumulate(letter, out=letters[1:])
+    np.bitwise_xor.accumulate(pair, out=pairs[1 : max(len(points), 1)])
+    last = np.maximum(end - 1, start)  # pairs[i] covers the pairs that begin before i
+    return (letters[end] ^ letters[start] ^ pairs[last] ^ pairs[start]).view(np.int64)
 
 
-def _keyed(docs: DataFrame, edits: int, min_chars: int, probe: bool) -> DataFrame:
+def _keyed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     schema = arrow(KEYS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             points, _, _, start, end = lines([x or "" for x in batch.column("text").to_pylist()])
             long = np.flatnonzero(end - start >= min_chars)
-            line, once = np.unique(_line_hash(points, start[long], end[long]), return_index=True)
+            spans = Spans(points)
+            line, once = np.unique(spans.lines(start[long], end[long]), return_index=True)
             start, end = start[long][once], end[long][once]
-            which, found = keys(points, start, end, edits, probe)
-            yield rows(schema, found, line[which], sketches(points, start, end)[which])
+            which, found, probe = keys(spans, start, end, edits)
+            yield rows(schema, found, line[which], sketches(points, start, end)[which], probe)
 
     return docs.mapInArrow(run, KEYS)
 
@@ -197,12 +221,14 @@ def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int) -> Da
     found = scratch.save(_occurrences(docs, min_chars), "occurrences")
     first = F.min(F.struct("doc_id", "tid", "number")).alias("first")
     distinct = scratch.save(found.groupBy("line").agg(first, F.count(F.lit(1)).alias("n")), "lines")
-    index, probes = _keyed(docs, edits, min_chars, False), _keyed(docs, edits, min_chars, True)
-    meet = index.alias("i").join(
-        probes.alias("p"),
-        (F.col("i.key") == F.col("p.key")) & F.expr(f"i.line <> p.line and bit_count(i.sketch ^ p.sketch) <= {2 * edits}"),
+    keyed = _keyed(docs, edits, min_chars)
+    letters, couples = "(i.sketch ^ p.sketch) & 4294967295", "shiftrightunsigned(i.sketch ^ p.sketch, 32)"
+    near = f"i.line < p.line and bit_count({letters}) <= {2 * edits} and bit_count({couples}) <= {4 * edits}"
+    # One side is an index row; said of both sides at once, so that both read the same shuffle.
+    meet = keyed.alias("i").join(
+        keyed.alias("p"), (F.col("i.key") == F.col("p.key")) & F.expr(f"i.probe + p.probe < 2 and {near}")
     )
-    pairs = meet.select(F.least("i.line", "p.line").alias("a"), F.greatest("i.line", "p.line").alias("b")).distinct()
+    pairs = meet.select(F.col("i.line").alias("a"), F.col("p.line").alias("b")).distinct()
     pairs = scratch.save(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
     wanted = scratch.save(wanted.join(distinct, "line").select("line", "first.*"), "wanted")
@@ -213,6 +239,7 @@ def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int) -> Da
     linked = linked.select("line", "first", "n", F.coalesce("root", "line").alias("root"), F.col("root").isNotNull().alias("near"))
     least = linked.where("near").groupBy("root").agg(F.min("first").alias("least"))
     several = linked.where("near or n > 1").join(least, "root", "left").select("line", F.coalesce("least", "first").alias("stays"))
+    several = scratch.save(several, "several")  # both sides are plain shuffles: Spark can split a very common line
     gone = found.join(several, "line").where(F.struct("doc_id", "tid", "number") != F.col("stays"))
     return gone.groupBy("doc_id", "tid").agg(F.collect_set("number").alias("gone"))
 
