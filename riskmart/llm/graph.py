@@ -13,8 +13,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
     Each round hangs every node's larger neighbours below its smallest one (large star), then does
     the same for the smaller ones (small star), until nothing changes: a logarithmic number of
-    rounds. Minima are aggregated before they are joined back, so a node with very many links
-    never has to be gathered in one task. Nulls and loops are ignored; without links the result is empty.
+    rounds. Minima are aggregated and written before they are joined back: both sides are then
+    plain shuffles, and Spark can split the rows of a node with very many links. Nulls and loops are ignored; without links the result is empty.
     """
     high, low = F.greatest("a", "b"), F.least("a", "b")
     edges = scratch.save(links.where("a <> b").select(high.alias("u"), low.alias("v")).distinct(), "links")
@@ -22,13 +22,14 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = scratch.save(least, "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.save(large.distinct(), "large")
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        down = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), "down")
         moved = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = scratch.save(moved.unionByName(down.select("u", F.col("m").alias("v"))).distinct(), "links")
         now = _mark(after)
-        scratch.drop(edges, large)
+        scratch.drop(edges, least, large, down)
         edges = after
         if now == seen:
             break

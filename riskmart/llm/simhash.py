@@ -145,6 +145,7 @@ def links(distinct: DataFrame, scratch: Scratch, max_bits: int = 2) -> DataFrame
         raise ValueError("the codeword radius is made for two bits")
     keyed = scratch.save(_keyed(distinct), "keys")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = scratch.save(sizes, "sizes")
     shared = scratch.save(keyed.join(sizes, "key"), "shared")
     few = shared.where(F.col("n") <= PAIRED_KEY_ROWS)
     pairs = (
@@ -158,7 +159,7 @@ def links(distinct: DataFrame, scratch: Scratch, max_bits: int = 2) -> DataFrame
     least = F.min("first_id").over(Window.partitionBy("hub"))  # a hub has 65 fingerprints at most
     starred = hubs.select(least.alias("a"), F.col("first_id").alias("b")).where("a < b")
     out = scratch.save(pairs.unionByName(starred).distinct(), "pairs")
-    scratch.drop(keyed, shared)
+    scratch.drop(keyed, sizes, shared)
     return out
 
 
@@ -187,4 +188,5 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     """
     found = near_duplicates(docs, shingle, max_bits)
     rest = found.where("doc_id <> component_id").select("doc_id").distinct()
+    rest = Scratch(docs.sparkSession, "simhash").save(rest, "rest")
     return docs.join(rest, "doc_id", "left_anti").select(docs.columns)

@@ -34,7 +34,7 @@ from riskmart.llm.textbytes import flat, slices, span_hash, word_hash, words
 
 WINDOW, GRAM = 50, 10
 ANCHOR_TEXTS = 200  # distinct fragments of an anchor up to which a shard's automaton takes them
-SHARD_TEXTS = 3000
+SHARD_TEXTS = 1000
 
 FRAGMENTS = "doc_id long, tid int, anchor long, frag long, start int, n int"
 
@@ -149,7 +149,7 @@ def _compared(texts: DataFrame, window: int, scratch: Scratch) -> DataFrame:
 
     every = scratch.save(texts.mapInArrow(run, WINDOWS), "windows")
     least = every.groupBy("hash").agg(F.min("first_id").alias("least"), F.max("last_id").alias("most")).where("least < most")
-    held = every.join(least, "hash").select("anchor", "frag", F.col("place").alias("low"), F.col("place").alias("high"), F.col("least").alias("first_id"))
+    held = every.join(scratch.save(least, "least"), "hash").select("anchor", "frag", F.col("place").alias("low"), F.col("place").alias("high"), F.col("least").alias("first_id"))
     return held
 
 
@@ -160,19 +160,22 @@ def spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = G
     """
     cut = scratch.save(_cut(docs, window, gram), "fragments")
     shared = cut.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    repeated = scratch.save(cut.join(shared.select("anchor"), "anchor"), "repeated")
-    scratch.drop(cut)
+    # Sums are written before they are joined back: both sides of the join are then plain shuffles,
+    # and Spark can split the rows of an anchor that a large part of the corpus holds.
+    shared = scratch.save(shared.select("anchor"), "shared")
+    repeated = scratch.save(cut.join(shared, "anchor"), "repeated")
+    scratch.drop(cut, shared)
     distinct = repeated.groupBy("anchor", "frag").agg(
         F.min(F.struct("doc_id", "tid", "start", "n")).alias("own"), F.max("doc_id").alias("last_id")
     )
     distinct = scratch.save(distinct, "distinct")
-    counts = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts"))
+    counts = scratch.save(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts")), "counts")
     texts = scratch.save(_texts(docs, distinct.join(counts, "anchor")), "texts")
     shards = max(1, -(-texts.where(F.col("texts") <= ANCHOR_TEXTS).count() // SHARD_TEXTS))
     found = _matched(texts.where(F.col("texts") <= ANCHOR_TEXTS), window, shards)
     found = found.unionByName(_compared(texts.where(F.col("texts") > ANCHOR_TEXTS), window, scratch))
     found = scratch.save(found, "runs")
-    scratch.drop(texts, distinct)
+    scratch.drop(texts, distinct, counts)
     gone = repeated.join(found, ["anchor", "frag"]).where("first_id < doc_id")
     span = F.struct((F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.col("high") + window).alias("b"))
     return gone.groupBy("doc_id", "tid").agg(F.collect_list(span).alias("s"))
