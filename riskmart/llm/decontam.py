@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.llm.scratch import Scratch
 from riskmart.llm.tables import arrow, only, rows
 from riskmart.llm.textbytes import flat, mix, slices, span_hash, word_hash, words
 
@@ -152,13 +153,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row and benchmark item that one of its windows resembles: the best window.
 
     ``start`` counts words. Ties go to the first window. A document shorter than an item is one
-    window. Items without words and null texts match nothing; items of fewer than five words match
+    window. Items without words, number or text match nothing; items of fewer than five words match
     where all their words stand. Items that repeat give a row each, documents that repeat too. Other columns take no part.
 
     The items are broadcast in passes of bounded size: a larger benchmark takes more passes, over all
     documents each.
     """
-    items = only(benchmark, item_id="long", text="string").where("text is not null")
+    items = only(benchmark, item_id="long", text="string").where("text is not null and item_id is not null")
     n, chars = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     passes = max(1, -(-n // PASS_ITEMS), -(-chars // PASS_CHARS))
     plain = only(docs, doc_id="long", text="string")
@@ -200,4 +201,5 @@ def _pass(docs: DataFrame, items: list) -> DataFrame:
 def keep_unleaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item is found; all columns are kept, and rows with a null doc_id stay."""
     found = leaks(docs, benchmark).select("doc_id").distinct()
+    found = Scratch(docs.sparkSession, "leaks").save(found, "found")
     return docs.join(found, "doc_id", "left_anti").select(docs.columns)

@@ -14,7 +14,7 @@ import pyarrow as pa
 KEEP = np.ones(256, bool)
 KEEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 
-SLICE_BYTES = 4 << 20  # text handled at once; a longer single document is handled alone
+SLICE_BYTES = 2 << 20  # text handled at once; a longer single document is handled alone
 
 
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -25,8 +25,10 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
     lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(sizes), 0), np.int64)
     part = np.cumsum(lengths) // SLICE_BYTES
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    del sizes
     for a, b in zip(edges, edges[1:], strict=False):
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
