@@ -49,22 +49,13 @@ RISK_LEVELS = ["Low", "Medium", "High", "Critical"]
 STOCK_STATUSES = ["Stockout", "Critical", "Reorder Required", "Overstock", "Safe"]
 STOCK_AT_RISK = ["Stockout", "Critical", "Reorder Required"]
 
-# The countries a supplier may have, by region.
-COUNTRIES = {
-    "Asia": [
-        "China", "India", "Bangladesh", "Vietnam", "Japan", "South Korea",
-        "Singapore", "Malaysia", "Thailand", "Indonesia",
-    ],
-    "Europe": [
-        "Germany", "France", "Italy", "Netherlands", "Poland", "Spain",
-        "United Kingdom",
-    ],
-    "North America": ["United States", "Canada", "Mexico"],
-    "South America": ["Brazil", "Argentina"],
-    "Middle East": ["UAE", "Saudi Arabia", "Turkey"],
-    "Africa": ["South Africa", "Egypt"],
-    "Oceania": ["Australia"],
-}
+# The countries a supplier may have.
+COUNTRIES = [
+    "China", "India", "Bangladesh", "Vietnam", "Japan", "South Korea", "Singapore", "Malaysia",
+    "Thailand", "Indonesia", "Germany", "France", "Italy", "Netherlands", "Poland", "Spain",
+    "United Kingdom", "United States", "Canada", "Mexico", "Brazil", "Argentina", "UAE",
+    "Saudi Arabia", "Turkey", "South Africa", "Egypt", "Australia",
+]
 
 # Supplier categories that can serve a product category.
 CATEGORY_MAP = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions.domains import CALENDAR
@@ -17,9 +17,9 @@ def build_dimension(staged: DataFrame, name: str) -> DataFrame:
 
 
 def date_dimension(
-    spark: SparkSession, start: str = CALENDAR[0], end: str = CALENDAR[1]
+    spark: SparkSession, start: str | Column = CALENDAR[0], end: str | Column = CALENDAR[1]
 ) -> DataFrame:
-    """One row per day. Week 1 holds January 1st and weeks start on Sunday."""
+    """One row per day; the ends may be scalar subqueries. Week 1 holds January 1st and weeks start on Sunday."""
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("FullDate")
     )

@@ -38,7 +38,7 @@ def broken_quotes(raw: DataFrame) -> DataFrame:
 
 
 def unknown_countries(
-    raw: DataFrame, domain: Sequence[str] = tuple(c for r in COUNTRIES.values() for c in r)
+    raw: DataFrame, domain: Sequence[str] = tuple(COUNTRIES)
 ) -> DataFrame:
     """Suppliers whose country is outside the domain; a missing country is not judged."""
     return raw.where(~F.col("Country").isin(*domain)).select(

@@ -168,7 +168,7 @@ def daily_demand(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def month_ends(
-    spark: SparkSession, start: str = SNAPSHOTS[0], end: str = SNAPSHOTS[1]
+    spark: SparkSession, start: str | Column = SNAPSHOTS[0], end: str | Column = SNAPSHOTS[1]
 ) -> DataFrame:
     """Every last day of a month from ``start`` to ``end``."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions import stock
@@ -279,7 +279,7 @@ add(
     "dq_15_unknown_countries",
     lambda m: dq.unknown_countries(m.raw("Suppliers")),
     "SELECT SupplierID, SupplierName, Country FROM RawSuppliers WHERE Country NOT IN ("
-    + _list(*[f"'{c}'" for names in COUNTRIES.values() for c in names])
+    + _list(*[f"'{c}'" for c in COUNTRIES])
     + ")",
 )
 
@@ -441,11 +441,10 @@ for _i, (_n, _d) in enumerate(DIMENSIONS.items(), start=1):
     )
 
 
-def _order_span(m: Mart) -> tuple[str, str]:
-    """First and last order date, for calendars that follow the data."""
-    day = F.col("o_orderdate").cast("date").cast("string")
-    first, last = m.sources.table("orders").agg(F.min(day), F.max(day)).first()
-    return first, last
+def _order_span(m: Mart) -> tuple[Column, Column]:
+    """First and last order date as scalar subqueries, for calendars that follow the data."""
+    day, orders = F.col("o_orderdate").cast("date"), m.sources.table("orders")
+    return orders.agg(F.min(day)).scalar(), orders.agg(F.max(day)).scalar()
 
 
 _SPAN = (
