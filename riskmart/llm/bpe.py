@@ -1,8 +1,8 @@
-"""Byte-level BPE ids of many texts, each distinct unit of text encoded once per task.
+"""Byte-level BPE ids of many texts, each distinct unit of text encoded once per worker.
 
 The pre-tokenizer never lets a piece run across a single space that stands between two
 characters other than white space: the space always starts the next piece. So a text can be cut
-before such spaces, the cuts encoded one by one, and the ids joined. Units repeat, so a task
+before such spaces, the cuts encoded one by one, and the ids joined. Units repeat, so a worker
 remembers the first ones it meets, up to a fixed size. Strings of special tokens in a text are
 ordinary text.
 """
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_CACHE_BYTES = 128 << 20
+_CACHE_BYTES = 96 << 20
 _open: dict[str, Bpe] = {}
 
 
@@ -51,10 +51,6 @@ class Bpe:
         self.space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self.stops = {c: pack(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
 
-    def forget(self) -> None:
-        """Give up the units met, at the end of a task: other stages run in the same worker."""
-        self.known, self.size = _Known(), 0
-
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
         for start in range(0, len(texts), 20_000):
             for found in self.tokenizer.encode_batch_fast(texts[start : start + 20_000], add_special_tokens=False):
@@ -108,6 +104,12 @@ def bpe(path: str) -> Bpe:
     return _open[path]
 
 
+def forget() -> None:
+    """Give up the units met: for operators that need memory in a worker where tokens were counted before."""
+    for coder in _open.values():
+        coder.known, coder.size = _Known(), 0
+
+
 def default_path() -> str:
     import public_tokenizers
 

@@ -80,7 +80,6 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
                     for column, x in zip(found, (doc_id, start, len(part) // 4, zlib.crc32(part), total), strict=True):
                         column.append(x)
             yield rows(schema, *found)
-        coder.forget()
 
     return only(docs, doc_id="long", text="string").mapInArrow(run, PIECES)
 

@@ -61,7 +61,6 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
                 waiting += len(ids) // 4 + 1
                 if waiting >= chunk_tokens:
                     yield chunk()
-        coder.forget()
         if doc_ids:
             yield chunk()
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.llm import bpe
 from riskmart.llm.scratch import Scratch
 from riskmart.llm.tables import arrow, draw, only, rows
 from riskmart.llm.textbytes import slices
@@ -288,6 +289,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         """(gram, n): texts of the sample that hold each string."""
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bpe.forget()
             found: Counter = Counter()
             for batch in batches:
                 for text in batch.column("text").to_pylist():
@@ -339,6 +341,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     schema = arrow(SCORED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe.forget()
         words = Words(model.landmarks)
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             found = words.describe([x or "" for x in batch.column("text").to_pylist()])
