@@ -157,8 +157,8 @@ def test_inventory_view_uses_one_global_latest_date(spark):
     assert (v[4].InventoryRiskScore, v[4].RiskPriority) == (D("7.00"), "Low")
 
 
-def test_inventory_view_on_the_wide_path(wide):
-    v = by(ir.inventory_risk(inventory_star(wide)), "InventoryKey")
+def test_inventory_scores_of_all_rows(spark):
+    v = by(ir.inventory_risk(inventory_star(spark)), "InventoryKey")
     assert {k: str(r.InventoryRiskScore) for k, r in v.items()} == {
         2: "100.00", 3: "79.50", 4: "7.00", 5: "7.00",
     }
