@@ -31,7 +31,7 @@ from riskmart.llm.textbytes import slices
 
 TRAIN_TOXIC, TRAIN_OTHER = 2000, 6000  # labelled rows learned from at most, drawn by a hash of doc_id
 LANDMARKS = 48
-STRINGS, CANDIDATES = 50_000, 3000  # strings of toxic texts counted elsewhere too, and the most telling of them
+STRINGS, CANDIDATES = 30_000, 2000  # strings of toxic texts counted elsewhere too, and the most telling of them
 ORDER, DECAY, FLOOR = 4, 0.7, 0.2
 GRAM = 5  # letters of a candidate string inside a word; whole words of 4 to 12 letters are candidates too
 LONGEST = 32  # a longer word is described by overlapping stretches of this length
@@ -304,13 +304,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     lift = {g: n / sizes[1] - 3 * plain_counts.get(g, 0) / sizes[0] for g, n in marked.items()}
     best = sorted((g for g in lift if lift[g] > 0), key=lambda g: (-lift[g], g))[:CANDIDATES]
     counts = {g: (marked[g], plain_counts.get(g, 0)) for g in best}
-    wanted = set(counts)
+    number = {g: i for i, g in enumerate(best)}
 
     def which(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield rows(arrow("found array<string>"), [sorted(grams(t) & wanted) for t in batch.column("text").to_pylist()])
+            held = [grams(t) & number.keys() for t in batch.column("text").to_pylist()]
+            yield rows(arrow("found array<int>"), [sorted(map(number.__getitem__, found)) for found in held])
 
-    having = [set(r["found"]) for r in sample.where("toxic = 1").mapInArrow(which, "found array<string>").collect()]
+    lists = sample.where("toxic = 1").mapInArrow(which, "found array<int>").collect()
+    having = [{best[i] for i in r["found"]} for r in lists]
     landmarks = choose(counts, having, sizes[0])
     if not landmarks:
         sample.unpersist()
