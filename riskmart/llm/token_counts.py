@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import unicodedata
 from collections import deque
 from collections.abc import Iterable, Iterator
 
@@ -85,16 +86,42 @@ class Automaton:
         return popped
 
 
+def alphabet() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary spells each byte."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_ALPHABET = alphabet()
+
+
+def _kinds(step: dict | None) -> set[str]:
+    """Types of a normalizer or pre-tokenizer and of the steps in it."""
+    inner = (step or {}).get("normalizers", []) + (step or {}).get("pretokenizers", [])
+    return {(step or {}).get("type", "")}.union(*map(_kinds, inner))
+
+
 class Counter(dict):
     """Pieces of each word seen by this worker; an unknown word is one unknown piece, stored as -1."""
 
     def __init__(self, path: str):
         super().__init__()
         with open(path, encoding="utf-8") as f:
-            self.automaton = Automaton(json.load(f)["model"]["vocab"])
+            file = json.load(f)
+        self.automaton = Automaton(file["model"]["vocab"])
+        self.bytes = "ByteLevel" in _kinds(file.get("pre_tokenizer"))
+        self.nfc = "NFC" in _kinds(file.get("normalizer"))
+
+    def words(self, text: str) -> list[str]:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text) if self.nfc else text
+            text = text.replace("Σ", "σ")  # the file lower-cases letter by letter: no final sigma
+        return text.lower().split()
 
     def __missing__(self, word: str) -> int:
-        n = self.automaton.count(word)
+        spelt = word.encode().decode("latin-1").translate(_ALPHABET) if self.bytes else word
+        n = self.automaton.count(spelt)
         if len(word) <= 64:
             self[word] = n
         return n
@@ -112,8 +139,9 @@ COUNTS = "doc_id long, n_words long, n_tokens long, n_unknown long"
 def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Per document: words, word pieces (an unknown word counts as one), unknown words.
 
-    ``vocabulary`` is a tokenizer file whose pieces mark word ends by ``</w>``. Texts are lower-cased
-    and split at white space. Null and empty texts have no words. Repeated rows stay repeated, an
+    ``vocabulary`` is a tokenizer file whose pieces mark word ends by ``</w>``. Texts are brought to NFC
+    if the file says so, lower-cased and split at white space. Where the file's pre-tokenizer is
+    ByteLevel, pieces spell the UTF-8 bytes of a word, and so are words spelt before they are matched. Null and empty texts have no words. Repeated rows stay repeated, an
     empty table gives no rows, other columns take no part.
     """
     schema = arrow(COUNTS)
@@ -123,7 +151,7 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             words, tokens, unknown = [], [], []
             for text in batch.column("text").to_pylist():
-                found = list(map(count.__getitem__, (text or "").lower().split()))
+                found = list(map(count.__getitem__, count.words(text or "")))
                 bad = found.count(-1)
                 words.append(len(found))
                 tokens.append(sum(found) + 2 * bad)

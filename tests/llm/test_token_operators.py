@@ -2,6 +2,7 @@
 
 import json
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -164,3 +165,30 @@ def test_token_counts(spark):
         want.append((r["doc_id"], len(found), sum(abs(n) for n in found), found.count(-1)))
     assert got == sorted(want, key=str) and any(x[1] == len(LONG.split()) for x in got)
     assert token_counts.token_counts(empty(spark), path).count() == 0
+
+
+def byte_letters():
+    """As GPT-2 spells bytes: printable Latin-1 as it is, the others from U+0100 on."""
+    out, n = {}, 0
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            out[b] = chr(b)
+        else:
+            out[b], n = chr(256 + n), n + 1
+    return out
+
+
+def test_token_counts_spell_bytes(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        vocabulary = {p.removesuffix("</w>") + "\0" if p.endswith("</w>") else p for p in json.load(f)["model"]["vocab"]}
+    letters = byte_letters()
+    words = ["für", "FÜR", "fu\u0308r", "ción", "中国", "€5", "“the", "naïve", "Straße", "ΟΔΟΣ", "ıİ", "a\0b", "\x7f", "plain"]
+    rows = [(i, w) for i, w in enumerate(words)] + [(99, " ".join(words)), (100, None)]
+    got = {x["doc_id"]: tuple(x)[1:] for x in token_counts.token_counts(docs(spark, rows), path).collect()}
+    plain = [unicodedata.normalize("NFC", w) for w in words]
+    spelt = ["".join(letters[b] for b in "".join(c.lower() for c in w).encode()) for w in plain]
+    want = [greedy(w, vocabulary) for w in spelt]
+    assert min(want) > 0 and [got[i] for i in range(len(words))] == [(1, n, 0) for n in want]
+    assert got[99] == (len(words), sum(want), 0) and got[100] == (0, 0, 0)
+    assert [got[words.index(w)][1] for w in ("für", "ción", "中国")] == [2, 1, 4] and got[0] == got[1] == got[2]
