@@ -25,7 +25,7 @@ from riskmart.llm.scratch import Scratch
 from riskmart.llm.tables import arrow, only, rows
 from riskmart.llm.textbytes import mix, powers, slices
 
-EDITS, MIN_CHARS = 2, 20
+EDITS, MIN_CHARS = 2, 20  # shorter lines go only where they are equal
 BROADCAST_LINES = 100_000  # lines whose text is wanted, up to which they are broadcast to the documents
 
 
@@ -212,16 +212,17 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int) -> DataFrame:
+def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int | None) -> DataFrame:
     """doc_id, tid, gone: numbers of the lines that are not the first of their class.
 
     A class holds equal lines, and lines linked by at most ``edits`` edits, over any number of links.
-    Its first line has the smallest (doc_id, tid, number).
+    Its first line has the smallest (doc_id, tid, number). Lines too short for links are classes of their own.
     """
-    found = scratch.save(_occurrences(docs, min_chars), "occurrences")
+    equal_chars, near_chars = (1, MIN_CHARS) if min_chars is None else (max(min_chars, 1), min_chars)
+    found = scratch.save(_occurrences(docs, equal_chars), "occurrences")
     first = F.min(F.struct("doc_id", "tid", "number")).alias("first")
     distinct = scratch.save(found.groupBy("line").agg(first, F.count(F.lit(1)).alias("n")), "lines")
-    keyed = _keyed(docs, edits, min_chars)
+    keyed = _keyed(docs, edits, near_chars)
     letters, couples = "(i.sketch ^ p.sketch) & 4294967295", "shiftrightunsigned(i.sketch ^ p.sketch, 32)"
     near = f"i.line < p.line and bit_count({letters}) <= {2 * edits} and bit_count({couples}) <= {4 * edits}"
     # One side is an index row; said of both sides at once, so that both read the same shuffle.
@@ -258,12 +259,13 @@ def _left(text: str | None, gone: list[int] | None) -> str | None:
 DIGEST = "doc_id long, n_lines long, n_removed long, kept_sha256 string"
 
 
-def digests(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def digests(docs: DataFrame, edits: int = EDITS, min_chars: int | None = None) -> DataFrame:
     """Per document row: doc_id, its lines, how many go, and the SHA-256 of what is left.
 
-    Lines end at newlines and are compared without white space at their ends. Lines under ``min_chars``
-    characters never go. Of each class of near-duplicate lines only the first stays (smallest doc_id,
-    then line number). What is left keeps its lines and newlines as they are; a text of which every
+    Lines end at newlines and are compared without white space at their ends. Equal lines of any length
+    are one class, near ones from MIN_CHARS characters on; empty lines never go. If ``min_chars`` is given,
+    shorter lines never go, and longer ones are linked. Of each class only the first stays (smallest
+    doc_id, then line number). What is left keeps its lines and newlines as they are; a text of which every
     line goes is empty. Null text: no lines, digest of the empty text. Rows that repeat doc_id and text are
     one document and lose the same lines. An empty table gives no rows, other columns take no part.
     """
@@ -281,7 +283,7 @@ def digests(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) ->
     return plain.join(found, ["doc_id", "tid"], "left").select("doc_id", "text", "gone").mapInArrow(run, DIGEST)
 
 
-def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int | None = None) -> DataFrame:
     """The documents without the lines that go (see digests); n_chars, if there, is counted anew. All rows stay."""
     found = surplus(_plain(docs), Scratch(docs.sparkSession, "lines"), edits, min_chars)
     own = found.select(F.col("doc_id").alias("_own_id"), F.col("tid").alias("_own_tid"), F.col("gone").alias("_gone"))

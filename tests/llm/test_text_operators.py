@@ -94,6 +94,21 @@ def test_lines(spark, edits):
     assert sorted((tuple(x) for x in got), key=str) == brute_lines(rows, edits, 6)
 
 
+def test_short_lines_go_if_equal(spark):
+    long = "A line that is long enough for edits."
+    rows = [
+        (1, f"Ietzte.\n\n{long}\nx"),
+        (2, f" Ietzte.\nIetzta.\n\n{long[:-1]}!\nx "),
+        (3, "\n \nIetzta.\nx\nx\nnineteen characters\nnineteen characterz"),
+        (4, None),
+    ]
+    got = {x["doc_id"]: x["text"] for x in line_dedup.dedup(docs(spark, rows)).collect()}
+    want = {1: rows[0][1], 2: "Ietzta.\n", 3: "\n \nnineteen characters\nnineteen characterz", 4: None}
+    assert got == want
+    counts = {x["doc_id"]: (x["n_lines"], x["n_removed"]) for x in line_dedup.digests(docs(spark, rows)).collect()}
+    assert counts == {1: (4, 0), 2: (5, 3), 3: (7, 3), 4: (0, 0)}
+
+
 def test_edit_distance():
     r = random.Random(0)
     for _ in range(3000):
