@@ -156,8 +156,10 @@ def _compared(texts: DataFrame, window: int, scratch: Scratch) -> DataFrame:
 def spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, tid, s: the word spans [a, b) that earlier documents hold, which may overlap.
 
-    ``docs`` has doc_id, text and tid, a hash of the text that tells rows of one doc_id apart.
+    ``docs`` has doc_id, text and tid, a hash of the text that tells rows of one doc_id apart. Rows with
+    a null doc_id are neither earlier nor later than others.
     """
+    docs = docs.where("doc_id is not null")
     cut = scratch.save(_cut(docs, window, gram), "fragments")
     shared = cut.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     # Sums are written before they are joined back: both sides of the join are then plain shuffles,
@@ -220,8 +222,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
 
     A word goes if a window that covers it also starts in a document with a smaller doc_id; windows
     are those of the input, so what goes in one document does not spare another. Copies under one
-    doc_id do not count against each other. Null and empty texts have no words; texts shorter than
-    a window lose nothing. Order and repeats of rows do not matter, an empty table gives no rows,
+    doc_id do not count against each other, nor do rows with a null doc_id, which lose nothing. Null and
+    empty texts have no words; texts shorter than a window lose nothing. Order and repeats of rows do not matter, an empty table gives no rows,
     other columns take no part.
     """
     return _each(docs, window, gram, KEPT, bytes.decode)

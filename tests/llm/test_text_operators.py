@@ -59,6 +59,16 @@ def test_substrings_awkward(spark):
     assert one == {1: hashlib.sha256(LONG.encode()).hexdigest(), 2: hashlib.sha256(b"").hexdigest(), 3: hashlib.sha256(b"").hexdigest()}
 
 
+@pytest.mark.parametrize("anchor_texts", [1, 200])
+def test_substrings_in_rows_without_number(spark, monkeypatch, anchor_texts):
+    monkeypatch.setattr(substring_dedup, "ANCHOR_TEXTS", anchor_texts)
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, passage), (1, passage), (2, passage), (None, f"a {passage}"), (3, f"b {passage} c"), (None, None)]
+    got = substring_dedup.dedup(docs(spark, rows)).collect()
+    assert sorted((tuple(x) for x in got), key=str) == brute_removed(rows, 50)
+    assert {x["doc_id"]: x["n_removed"] for x in got if x["doc_id"]} == {1: 0, 2: 60, 3: 60}
+
+
 def brute_lines(rows, edits, min_chars):
     """Kept text of each row."""
     found = {}
