@@ -217,7 +217,9 @@ def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int | None
 
     A class holds equal lines, and lines linked by at most ``edits`` edits, over any number of links.
     Its first line has the smallest (doc_id, tid, number). Lines too short for links are classes of their own.
+    Rows with a null doc_id, which nothing can name, are neither compared nor first.
     """
+    docs = docs.where("doc_id is not null")
     equal_chars, near_chars = (1, MIN_CHARS) if min_chars is None else (max(min_chars, 1), min_chars)
     found = scratch.save(_occurrences(docs, equal_chars), "occurrences")
     first = F.min(F.struct("doc_id", "tid", "number")).alias("first")
@@ -266,7 +268,8 @@ def digests(docs: DataFrame, edits: int = EDITS, min_chars: int | None = None) -
     are one class, near ones from MIN_CHARS characters on; empty lines never go. If ``min_chars`` is given,
     shorter lines never go, and longer ones are linked. Of each class only the first stays (smallest
     doc_id, then line number). What is left keeps its lines and newlines as they are; a text of which every
-    line goes is empty. Null text: no lines, digest of the empty text. Rows that repeat doc_id and text are
+    line goes is empty. Null text: no lines, digest of the empty text. Rows with a null doc_id lose no
+    lines and spare none elsewhere. Rows that repeat doc_id and text are
     one document and lose the same lines. An empty table gives no rows, other columns take no part.
     """
     plain = _plain(docs)

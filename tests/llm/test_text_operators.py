@@ -119,6 +119,14 @@ def test_short_lines_go_if_equal(spark):
     assert counts == {1: (4, 0), 2: (5, 3), 3: (7, 3), 4: (0, 0)}
 
 
+def test_lines_in_rows_without_number(spark):
+    line, near, other = "The same line in many of the rows.", "The same line in many of the rows!", "This one is held by one numbered row."
+    rows = [(None, f"{line}\n{near}\n{other}\n{other}"), (1, f"{line}\n{other}"), (2, f"{near}\n{line}\nx y"), (None, f"{near}\nx y"), (3, "x y")]
+    got = sorted((tuple(x) for x in line_dedup.dedup(docs(spark, rows)).collect()), key=str)
+    assert got == brute_lines(rows, 2, 3)
+    assert {i: t for i, t in got if i} == {1: f"{line}\n{other}", 2: "x y", 3: ""}
+
+
 def test_edit_distance():
     r = random.Random(0)
     for _ in range(3000):
