@@ -115,7 +115,14 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     return docs.mapInArrow(run, OCCURRENCES)
 
 
-KEYS = "key long, line long, sketch long, probe int"
+def places(edits: int) -> list[tuple[int, int, int]]:
+    """How much shorter the other line is, its segment, and how far from its place there the segment is sought."""
+    return [
+        (shorter, i, shift)
+        for shorter in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)
+    ]
 
 
 def segments(n: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,27 +133,24 @@ def segments(n: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.ndarray]
     return i * short + before, short + (i >= parts - longer)
 
 
-def keys(spans: Spans, start: np.ndarray, end: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, key, probe): the places that may hold a segment of a line as long or shorter.
+def keys(spans: Spans, start: np.ndarray, end: np.ndarray, edits: int) -> list[pa.Array]:
+    """For each of the places that may hold a segment of a line as long or shorter, the key of each line there.
 
-    Those that are the line's own segments make its index (probe 0), and probe lines of the same length too.
+    Those that are the line's own segments make its index, and probe lines of the same length too.
     """
     size = end - start
-    which, found, probes = [], [], []
-    for shorter in range(edits + 1):
+    found = []
+    for shorter, i, shift in places(edits):
         n = size - shorter
-        for i in range(edits + 1):
-            place, length = segments(n, i, edits)
-            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                a = place + shift
-                fits = np.flatnonzero((n > edits) & (a >= 0) & (a + length <= size))
-                a = start[fits] + a[fits]
-                h = spans.hash(a, a + length[fits])
-                label = (n[fits].astype(np.uint64) << np.uint64(3)) + np.uint64(i)
-                which.append(fits)
-                found.append(mix(h + mix(label + np.uint64(1))).view(np.int64))
-                probes.append(np.full(len(fits), int(shorter > 0 or shift != 0), np.int32))
-    return np.concatenate(which), np.concatenate(found), np.concatenate(probes)
+        place, length = segments(n, i, edits)
+        a = place + shift
+        fits = (n > edits) & (a >= 0) & (a + length <= size)
+        a, length = start[fits] + a[fits], length[fits]
+        label = (n[fits].astype(np.uint64) << np.uint64(3)) + np.uint64(i)
+        key = np.zeros(len(size), np.int64)
+        key[fits] = mix(spans.hash(a, a + length) + mix(label + np.uint64(1))).view(np.int64)
+        found.append(pa.array(key, mask=~fits))
+    return found
 
 
 def sketches(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -165,7 +169,14 @@ def sketches(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 
 def _keyed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    schema = arrow(KEYS)
+    """key, line, sketch, probe: each distinct line once under each of its keys, however many documents hold it.
+
+    A line's keys are columns until the copies of the line, found in many batches, are one row.
+    """
+    at = places(edits)
+    names = [f"k{i}" for i in range(len(at))]
+    lines_schema = ", ".join(["line long, sketch long", *(f"{k} long" for k in names)])
+    schema = arrow(lines_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
@@ -174,10 +185,11 @@ def _keyed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
             spans = Spans(points)
             line, once = np.unique(spans.lines(start[long], end[long]), return_index=True)
             start, end = start[long][once], end[long][once]
-            which, found, probe = keys(spans, start, end, edits)
-            yield rows(schema, found, line[which], sketches(points, start, end)[which], probe)
+            yield rows(schema, line, sketches(points, start, end), *keys(spans, start, end, edits))
 
-    return docs.mapInArrow(run, KEYS)
+    once = docs.mapInArrow(run, lines_schema).dropDuplicates(["line"])
+    each = [F.struct(F.col(k).alias("key"), F.lit(int(shorter > 0 or shift != 0)).alias("probe")) for k, (shorter, _, shift) in zip(names, at, strict=True)]
+    return once.select("line", "sketch", F.inline(F.array(*each))).where("key is not null").select("key", "line", "sketch", "probe")
 
 
 def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -127,6 +127,16 @@ def test_lines_in_rows_without_number(spark):
     assert {i: t for i, t in got if i} == {1: f"{line}\n{other}", 2: "x y", 3: ""}
 
 
+def test_lines_have_keys_once_however_many_documents_hold_them(spark):
+    held = ["A line that very many documents hold.", "A line that very many documents held."]
+    table = docs(spark, [(i, "\n".join([*held, f"{i} is a line of one document only"])) for i in range(300)]).repartition(30)
+    found = line_dedup._keyed(table, 2, 20)
+    counts = Counter(tuple(x) for x in found.collect())
+    assert set(counts.values()) == {1} and len({x[1] for x in counts}) == 302
+    for x in {x[1] for x in counts}:
+        assert 3 <= sum(1 for y in counts if y[1] == x and not y[3]) <= sum(1 for y in counts if y[1] == x) <= len(line_dedup.places(2))
+
+
 def test_edit_distance():
     r = random.Random(0)
     for _ in range(3000):
