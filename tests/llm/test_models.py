@@ -178,3 +178,7 @@ def test_nearest_awkward(spark):
         got.setdefault(x["query_id"], []).append((x["vec_id"], x["score"]))
     assert got == {q: brute_nearest(rows, q, 3) for q in (0, 20, 40)}
     assert ann.nearest(frame.where("false"), "id % 20 = 0").count() == 0
+
+
+def test_as_many_strings_are_searched_as_before_the_driver_s_memory_was_cut():
+    assert (toxicity.STRINGS, toxicity.CANDIDATES) == (50_000, 3000)
