@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskmart.llm import ann, decontam, langid, line_dedup, packing, simhash, substring_dedup, token_counts, token_files, toxicity
+from riskmart.llm import ann, decontam, langid, line_dedup, packing, periodic, simhash, substring_dedup, token_counts, token_files, toxicity
 from riskmart.llm.tables import table
 
 
@@ -51,6 +52,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, text: in every tenth document by its crc32 the words from some place on repeat a stretch of them."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+    docs = docs.withColumn("w", F.expr(r"CASE WHEN h % 10 = 0 THEN regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0) END"))
+    docs = docs.withColumn("a", F.expr("CASE WHEN size(w) > 0 THEN CAST(h div 10 % size(w) AS int) END"))
+    docs = docs.withColumn("p", F.expr("CAST(1 + (size(w) - a) div (3 + h div 10 % 8) AS int)"))
+    repeated = "concat(slice(w, 1, a), transform(sequence(a, size(w) - 1), i -> w[a + (i - a) % p]))"
+    return docs.select("doc_id", F.expr(f"CASE WHEN a IS NULL THEN text ELSE array_join({repeated}, ' ') END").alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = "aggregate(runs, CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>), (a, r) -> IF(a IS NULL OR r.length * a.period > a.length * r.period, r, a))"
+    listed = r"array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')"
+    found = found.selectExpr("*", f"{longest} AS best")
+    return found.selectExpr(
+        "doc_id",
+        "CAST(size(runs) AS bigint) AS n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        "1000 * best.length div best.period AS exponent_milli",
+        f"sha2({listed}, 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -64,6 +93,7 @@ QUERIES = {
         op8_token_counts,
         op9_nearest_neighbours,
         op10_packing,
+        op11_periodic_runs,
     )
 }
 CHECKS: dict[str, str] = {}
