@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import ann, decontam, langid, line_dedup, packing, periodic, simhash, substring_dedup, token_counts, token_files, toxicity
+from riskmart.llm import ann, decontam, langid, line_dedup, packing, periodic, simhash, spelling, substring_dedup, token_counts, token_files, toxicity
 from riskmart.llm.tables import table
 
 
@@ -80,6 +80,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_lost_letters(runs: DataFrame) -> DataFrame:
+    """word: every 199th run by the crc32 of its document and itself lost one code point."""
+    runs = runs.withColumn("h", F.expr("crc32(concat(CAST(doc_id AS string), ':', word))"))
+    at = "CAST(h % char_length(word) AS int)"
+    lost = f"concat(left(word, {at}), substring(word, {at} + 2))"
+    return runs.select(F.expr(f"CASE WHEN h % 199 = 0 THEN {lost} ELSE word END").alias("word"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_lost_letters(spelling.letter_runs(table(spark, sf_dir, "documents")))
+    long = found.where(F.char_length("word") >= spelling.LEAST_CHARS)
+    return spelling.variants(long.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +108,7 @@ QUERIES = {
         op9_nearest_neighbours,
         op10_packing,
         op11_periodic_runs,
+        op12_spelling_variants,
     )
 }
 CHECKS: dict[str, str] = {}
