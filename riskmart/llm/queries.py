@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import ann, decontam, langid, line_dedup, packing, periodic, simhash, spelling, substring_dedup, token_counts, token_files, toxicity
+from riskmart.llm import ann, decontam, langid, line_dedup, packing, periodic, repeat_dedup, simhash, spelling, substring_dedup, token_counts, token_files, toxicity
 from riskmart.llm.tables import table
 
 
@@ -94,6 +94,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(long.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -109,6 +113,7 @@ QUERIES = {
         op10_packing,
         op11_periodic_runs,
         op12_spelling_variants,
+        op13_suffix_array_dedup,
     )
 }
 CHECKS: dict[str, str] = {}

@@ -32,8 +32,8 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a text column and the n + 1 offsets into them; null counts as empty."""
-    values = pa.compute.fill_null(column, "").cast(pa.large_string())
+    """All bytes of a text or binary column and the n + 1 offsets into them; null counts as empty."""
+    values = pa.compute.fill_null(column.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
     data = values.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
@@ -86,8 +86,11 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: in
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(_BYTE_VALUES[raw], starts, ends)
+def byte_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hash(BYTE_VALUES[raw], starts, ends)
+
+
+word_hash = byte_hash
