@@ -12,8 +12,9 @@ the suffix automaton of them with the smallest document number behind each state
 fragments past it: the matching statistic tells for each window the first document that holds it.
 
 An anchor with very many distinct fragments (a passage that a large part of the corpus holds, each time
-among other words) would make one shard grow with the corpus. Its windows are compared one by one by
-their hashes instead: a sum per window, with partial sums before the shuffle.
+among other words) would make one shard grow with the corpus. Its fragments are cut again, as texts of their
+own, by anchors of more words: those that differ part, those that stay together share more. At last an anchor
+is a window itself, and the first document that holds it is known without a shard.
 """
 
 from __future__ import annotations
@@ -36,7 +37,12 @@ WINDOW, GRAM = 50, 10
 ANCHOR_TEXTS = 200  # distinct fragments of an anchor up to which a shard's automaton takes them
 SHARD_TEXTS = 1000
 
-FRAGMENTS = "doc_id long, tid int, anchor long, frag long, start int, n int"
+FRAGMENTS = "doc_id long, last_id long, tid long, anchor long, frag long, start int, n int"
+
+
+def _grams(window: int, gram: int) -> list[int]:
+    """Words of an anchor at each level: four even steps from ``gram`` to the window."""
+    return sorted({gram + (window - gram) * k // 4 for k in range(5)})
 
 
 def fragments(raw: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -67,7 +73,7 @@ def _cut(docs: DataFrame, window: int, gram: int) -> DataFrame:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             doc, anchor, frag, start, n = fragments(*flat(batch.column("text")), window, gram)
             at = pa.array(doc)
-            yield rows(schema, batch.column("doc_id").take(at), batch.column("tid").take(at), anchor, frag, start, n)
+            yield rows(schema, *(batch.column(c).take(at) for c in ("doc_id", "last_id", "tid")), anchor, frag, start, n)
 
     return docs.mapInArrow(run, FRAGMENTS)
 
@@ -81,6 +87,8 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     each = wanted.groupBy(F.col("own.doc_id").alias("doc_id"), F.col("own.tid").alias("tid")).agg(
         F.collect_list(F.struct("anchor", "frag", "own.start", "own.n", "last_id", "texts")).alias("w")
     )
+    # Rows that repeat are one text; the join below needs the same partitioning.
+    once = docs.groupBy("doc_id", "tid").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
@@ -95,7 +103,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         column.append(x)
             yield rows(schema, *out[:5], pa.array(out[5], pa.binary()).cast(pa.string()))
 
-    return docs.join(each, ["doc_id", "tid"]).mapInArrow(run, TEXTS)
+    return once.join(each, ["doc_id", "tid"]).mapInArrow(run, TEXTS)
 
 
 RUNS = "anchor long, frag long, low int, high int, first_id long"
@@ -127,60 +135,60 @@ def _matched(texts: DataFrame, window: int, shards: int) -> DataFrame:
     return keep.groupBy("shard").applyInArrow(match, RUNS)
 
 
-WINDOWS = "anchor long, frag long, place int, hash long, first_id long, last_id long"
-
-
-def _compared(texts: DataFrame, window: int, scratch: Scratch) -> DataFrame:
-    """As _matched, window by window."""
-    schema = arrow(WINDOWS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in itertools.chain.from_iterable(slices(b, "words") for b in batches):
-            raw, offsets = flat(batch.column("words"))
-            starts, ends, bounds = words(raw, offsets)
-            hashes = word_hash(raw, starts, ends)
-            counts = np.maximum(np.diff(bounds) - window + 1, 0)
-            row = np.repeat(np.arange(batch.num_rows), counts)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            a = bounds[row] + place
-            at = pa.array(row)
-            ids = [batch.column(c).take(at) for c in ("anchor", "frag", "first_id", "last_id")]
-            yield rows(schema, ids[0], ids[1], place, span_hash(hashes, a, a + window).view(np.int64), ids[2], ids[3])
-
-    every = scratch.save(texts.mapInArrow(run, WINDOWS), "windows")
-    least = every.groupBy("hash").agg(F.min("first_id").alias("least"), F.max("last_id").alias("most")).where("least < most")
-    held = every.join(scratch.save(least, "least"), "hash").select("anchor", "frag", F.col("place").alias("low"), F.col("place").alias("high"), F.col("least").alias("first_id"))
-    return held
+def _spans(docs: DataFrame, scratch: Scratch, window: int, grams: list[int]) -> DataFrame:
+    """doc_id, tid, a, b, first_id: spans [a, b) whose windows stand in ``first_id`` first, and that before last_id.
 
-
-def spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, tid, s: the word spans [a, b) that earlier documents hold, which may overlap.
-
-    ``docs`` has doc_id, text and tid, a hash of the text that tells rows of one doc_id apart. Rows with
-    a null doc_id are neither earlier nor later than others.
+    ``docs`` has doc_id and last_id, the first and the last document that holds the text, tid and text.
     """
-    docs = docs.where("doc_id is not null")
+    gram, *longer = grams
     cut = scratch.save(_cut(docs, window, gram), "fragments")
-    shared = cut.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    shared = cut.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("last_id").alias("most")).where("least < most")
     # Sums are written before they are joined back: both sides of the join are then plain shuffles,
     # and Spark can split the rows of an anchor that a large part of the corpus holds.
     shared = scratch.save(shared.select("anchor"), "shared")
     repeated = scratch.save(cut.join(shared, "anchor"), "repeated")
     scratch.drop(cut, shared)
     distinct = repeated.groupBy("anchor", "frag").agg(
-        F.min(F.struct("doc_id", "tid", "start", "n")).alias("own"), F.max("doc_id").alias("last_id")
+        F.min(F.struct("doc_id", "tid", "start", "n")).alias("own"), F.max("last_id").alias("last_id")
     )
     distinct = scratch.save(distinct, "distinct")
+    if longer:
+        found = _found(docs, distinct, scratch, window, longer)
+        scratch.drop(distinct)
+    else:
+        found = distinct.select("anchor", "frag", F.lit(0).alias("low"), F.lit(0).alias("high"), F.col("own.doc_id").alias("first_id"))
+    gone = repeated.join(found, ["anchor", "frag"]).where("first_id < last_id")
+    return gone.select("doc_id", "tid", (F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.col("high") + window).alias("b"), "first_id")
+
+
+def _found(docs: DataFrame, distinct: DataFrame, scratch: Scratch, window: int, longer: list[int]) -> DataFrame:
+    """RUNS of the distinct fragments: by the shards of their anchors, or cut again by longer anchors."""
     counts = scratch.save(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts")), "counts")
     texts = scratch.save(_texts(docs, distinct.join(counts, "anchor")), "texts")
-    shards = max(1, -(-texts.where(F.col("texts") <= ANCHOR_TEXTS).count() // SHARD_TEXTS))
-    found = _matched(texts.where(F.col("texts") <= ANCHOR_TEXTS), window, shards)
-    found = found.unionByName(_compared(texts.where(F.col("texts") > ANCHOR_TEXTS), window, scratch))
-    found = scratch.save(found, "runs")
-    scratch.drop(texts, distinct, counts)
-    gone = repeated.join(found, ["anchor", "frag"]).where("first_id < doc_id")
-    span = F.struct((F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.col("high") + window).alias("b"))
-    return gone.groupBy("doc_id", "tid").agg(F.collect_list(span).alias("s"))
+    few = F.col("texts") <= ANCHOR_TEXTS
+    n_few, n_many = texts.agg(F.count_if(few), F.count_if(~few)).first()
+    found = scratch.save(_matched(texts.where(few), window, max(1, -(-n_few // SHARD_TEXTS))), "runs")
+    if n_many:
+        many = texts.where(~few).select("anchor", "frag", F.col("first_id").alias("doc_id"), "last_id", F.monotonically_increasing_id().alias("tid"), F.col("words").alias("text"))
+        many = scratch.save(many, "many")
+        inner = _spans(many.select("doc_id", "last_id", "tid", "text"), scratch, window, longer)
+        inner = inner.select("tid", F.col("a").alias("low"), (F.col("b") - window).alias("high"), "first_id")
+        inner = many.select("tid", "anchor", "frag").join(inner, "tid").select("anchor", "frag", "low", "high", "first_id")
+        found = found.unionByName(scratch.save(inner, "inner"))
+    scratch.drop(texts, counts)
+    return found
+
+
+def spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """doc_id, tid, s: the word spans [a, b) that earlier documents hold, which may overlap.
+
+    ``docs`` has doc_id, text and tid, a hash of the text that tells rows of one doc_id apart. Rows with
+    a null doc_id are neither earlier nor later than others.
+    """
+    docs = docs.where("doc_id is not null").withColumn("last_id", F.col("doc_id"))
+    gone = _spans(docs, scratch, window, _grams(window, gram))
+    # Rows that repeat find the same spans: a set holds each once.
+    return gone.groupBy("doc_id", "tid").agg(F.collect_set(F.struct("a", "b")).alias("s"))
 
 
 KEPT = "doc_id long, n_words long, n_removed long, kept string"
@@ -197,7 +205,7 @@ def removed(found: list[dict], n: int) -> np.ndarray:
 
 def _each(docs: DataFrame, window: int, gram: int, schema: str, finish) -> DataFrame:
     """finish(kept words) for each document, from what is left of it."""
-    plain = only(docs, doc_id="long", text="string").withColumn("tid", F.hash("text"))
+    plain = only(docs, doc_id="long", text="string").withColumn("tid", F.xxhash64("text"))
     found = spans(plain, Scratch(docs.sparkSession, "substrings"), window, gram)
     out = arrow(schema)
 

@@ -10,6 +10,8 @@ import pytest
 import xxhash
 from cases import LONG, WORD, awkward, components, docs, edit_distance, empty, sentences
 
+from pyspark.sql import functions as F
+
 from riskmart.llm import decontam, line_dedup, simhash, substring_dedup
 from riskmart.llm.graph import components as spark_components
 from riskmart.llm.scratch import Scratch
@@ -35,7 +37,7 @@ def brute_removed(rows, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("anchor_texts", [1, 200])
+@pytest.mark.parametrize("anchor_texts", [0, 1, 200])
 def test_substrings(spark, monkeypatch, anchor_texts):
     monkeypatch.setattr(substring_dedup, "ANCHOR_TEXTS", anchor_texts)
     monkeypatch.setattr(substring_dedup, "SHARD_TEXTS", 20)
@@ -50,6 +52,26 @@ def test_substrings(spark, monkeypatch, anchor_texts):
     assert sum(x["n_removed"] for x in got) > 500
 
 
+def test_rows_that_repeat_make_no_more_spans(spark):
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(i, passage) for i in (1, 2) for _ in range(1000)] + [(3, f"{passage} end")]
+    plain = docs(spark, rows).withColumn("tid", F.xxhash64("text"))
+    found = substring_dedup.spans(plain, Scratch(spark, "substrings")).collect()
+    assert {x["doc_id"] for x in found} == {2, 3} and max(len(x["s"]) for x in found) < 15
+    got = {tuple(x)[:3] for x in substring_dedup.dedup(docs(spark, rows)).collect()}
+    assert got == {(1, 60, 0), (2, 60, 60), (3, 61, 60)}
+
+
+def test_a_passage_in_every_document(spark):
+    """More documents than an anchor's fragments may be: those around the passage are cut again."""
+    r = random.Random(6)
+    passage = " ".join(f"p{k}" for k in range(70))
+    pool = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(5000)]
+    rows = [(i, " ".join([*r.choices(pool, k=45), passage, *r.choices(pool, k=45)])) for i in range(600)]
+    got = substring_dedup.dedup(docs(spark, rows)).collect()
+    assert sorted((tuple(x) for x in got), key=str) == brute_removed(rows, 50)
+
+
 def test_substrings_awkward(spark):
     rows = [(r["doc_id"], r["text"]) for r in awkward(spark).collect()]
     got = substring_dedup.dedup(awkward(spark), window=6, gram=2).collect()
