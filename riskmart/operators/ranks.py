@@ -2,7 +2,7 @@
 
 A window without PARTITION BY moves every row to one task. Here ties collapse to one
 row per key first. Keys that can only take few values (percentages, scores, counts) are
-ranked among those values. Other distinct keys are range-partitioned, and each partition
+ranked among those values, all keys of a table in one pass. Other distinct keys are range-partitioned, and each partition
 counts up from the number of rows in the partitions before it.
 """
 
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType
 
 from riskmart.functions.exprs import ratio
 from riskmart.sources.workspace import materialize
@@ -31,7 +32,11 @@ class Ranking:
     out: str
     ascending: bool = True
     mode: str = "rank"  # or "percent_rank": 0..100 with two digits
-    few: bool = True
+    few: bool = False
+
+
+#: Values of a key that are broadcast at most; 2 ** 21 counts add up to over 10 ** 12 rows.
+FEW_VALUES = 1 << 21
 
 
 def _order(name: str, ascending: bool) -> Column:
@@ -119,37 +124,69 @@ def with_global_rank(df: DataFrame, ranking: Ranking) -> DataFrame:
     return ranked.withColumn(ranking.out, out).drop("_rank")
 
 
-def _with_rank_of_few(df: DataFrame, base: DataFrame, ranking: Ranking) -> DataFrame:
-    """Lazy: a count per value, a window over the values, and the values joined back."""
-    order = _order("_key", ranking.ascending)
-    counts = base.groupBy(F.col(ranking.key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    place = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1
-    ranks = counts.select("_key", _finish(place, F.sum("_n").over(every), ranking.mode).alias(ranking.out))
-    same = F.col(ranking.key).eqNullSafe(F.col("_key"))
-    return df.join(F.broadcast(ranks), same, "left").drop("_key")
+def _comparable(df: DataFrame, rankings: Sequence[Ranking]) -> list[list[Ranking]]:
+    """Rankings whose keys can share one column: numbers with numbers, others with their own type."""
+    groups: dict[str, list[Ranking]] = {}
+    for r in rankings:
+        kind = df.schema[r.key].dataType
+        groups.setdefault("number" if isinstance(kind, NumericType) else kind.simpleString(), []).append(r)
+    return list(groups.values())
+
+
+def _places(base: DataFrame, rankings: Sequence[Ranking], kind: DataType) -> DataFrame:
+    """One row per value that a key takes (_key): its place in every ranking, then the number of rows (_places).
+
+    All keys are counted in one aggregate and ordered by one window, partitioned by the ranking.
+    """
+    entries = [F.struct(F.lit(i).alias("_r"), F.col(r.key).cast(kind).alias("_key")) for i, r in enumerate(rankings)]
+    counts = base.select(F.inline(F.array(*entries))).groupBy("_r", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    each = Window.partitionBy("_r")
+    earlier = each.orderBy(_order("_key", True)).rowsBetween(Window.unboundedPreceding, -1)
+    before, rows = F.coalesce(F.sum("_n").over(earlier), F.lit(0)), F.sum("_n").over(each)
+    too_many = F.raise_error(F.lit("a key said to take few values takes too many to broadcast: rank it with few=False"))
+    places = counts.select(
+        "_r", "_key", "_n", before.alias("_before"), rows.alias("_rows"), F.count(F.lit(1)).over(each).alias("_values")
+    ).withColumn("_before", F.when(F.col("_values") > FEW_VALUES, too_many.cast("bigint")).otherwise(F.col("_before")))
+    up, down = F.col("_before") + 1, F.col("_rows") - F.col("_before") - F.col("_n") + 1
+    found = [F.max(F.when(F.col("_r") == i, up if r.ascending else down)) for i, r in enumerate(rankings)]
+    # One array, so that every lookup needs the same columns and the counts behind them are shared.
+    return places.groupBy("_key").agg(F.array(*found, F.max("_rows")).alias("_places"))
+
+
+def _with_ranks_of_few(df: DataFrame, base: DataFrame, rankings: Sequence[Ranking]) -> DataFrame:
+    """Lazy: ``base`` is read once for the keys of all rankings, their places are looked up per row of ``df``."""
+    out = df
+    for group in _comparable(base, rankings):
+        kind = base.select(F.coalesce(*[F.col(r.key) for r in group])).schema[0].dataType
+        places = F.broadcast(_places(base, group, kind))
+        for i, r in enumerate(group):
+            same = F.col(r.key).cast(kind).eqNullSafe(F.col("_key"))
+            rank = _finish(F.col("_places")[i], F.col("_places")[len(group)], r.mode)
+            out = out.join(places, same, "left").withColumn(r.out, rank).drop("_key", "_places")
+    return out
 
 
-def with_ranks(df: DataFrame, rankings: Sequence[Ranking]) -> DataFrame:
+def with_ranks(df: DataFrame, rankings: Sequence[Ranking], written: bool = False) -> DataFrame:
     """Add several ranks, all of them taken from the same rows.
 
-    The rows are written once if a key may take many values; else nothing is evaluated early.
+    ``df`` is evaluated for its rows and once for the keys of few values, however many rankings there are. With a
+    key of many values it is written first, unless ``written`` says that reading it again is cheap.
     """
-    base = df if all(r.few for r in rankings) else materialize(df, "ranked")
+    few, many = ([r for r in rankings if r.few == kind] for kind in (True, False))
+    base = df if written or not many else materialize(df, "ranked")
     out = base
-    for r in rankings:
-        if r.few:
-            out = _with_rank_of_few(out, base, r)
-        else:
-            ranks, total, _ = rank_keys(base, r.key, r.ascending)
-            ranked = _attach(out, ranks, r.key, total)
-            out = ranked.withColumn(r.out, _finish(F.col("_rank"), F.lit(total), r.mode)).drop("_rank")
-    return out
+    for r in many:
+        ranks, total, _ = rank_keys(base, r.key, r.ascending)
+        ranked = _attach(out, ranks, r.key, total)
+        out = ranked.withColumn(r.out, _finish(F.col("_rank"), F.lit(total), r.mode)).drop("_rank")
+    return _with_ranks_of_few(out, base, few).select(*df.columns, *[r.out for r in rankings])
 
 
 def with_total(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Add the grand total of a column, which is summed up before it meets the rows."""
+    """Add the grand total of a column, which is summed up before it meets the rows.
+
+    ``df`` is evaluated for the total and for the rows: hand in sums that are written.
+    """
     return df.withColumn(out, df.agg(F.sum(value)).scalar())
 
 

@@ -18,10 +18,10 @@ _RISK_PARTS = {name for name, _ in supplier_risk.SUPPLIER_WEIGHTS}
 _IMPACT_PARTS = {name for name, _ in dependency.DEPENDENCY_WEIGHTS}
 
 RISK_RANKS = [
-    Ranking("RiskScore", "RiskRank", False),
-    Ranking("TotalPurchaseValue", "PurchaseValueRank", False, few=False),
-    Ranking("LateShipmentPct", "LateDeliveryRank", False),
-    Ranking("AvgQualityScore", "QualityRiskRank", True),
+    Ranking("RiskScore", "RiskRank", False, few=True),
+    Ranking("TotalPurchaseValue", "PurchaseValueRank", False),
+    Ranking("LateShipmentPct", "LateDeliveryRank", False, few=True),
+    Ranking("AvgQualityScore", "QualityRiskRank", True, few=True),
 ]
 
 

@@ -46,10 +46,10 @@ COLUMNS = [
 ]
 
 SCORES = [
-    Ranking("TotalPurchaseValue", "PurchaseExposureScore", True, "percent_rank", few=False),
-    Ranking("ProductsSupplied", "ProductExposureScore", True, "percent_rank"),
-    Ranking("WarehousesSupported", "WarehouseExposureScore", True, "percent_rank"),
-    Ranking("HighlyDependentProducts", "ProductConcentrationScore", True, "percent_rank"),
+    Ranking("TotalPurchaseValue", "PurchaseExposureScore", True, "percent_rank"),
+    Ranking("ProductsSupplied", "ProductExposureScore", True, "percent_rank", few=True),
+    Ranking("WarehousesSupported", "WarehouseExposureScore", True, "percent_rank", few=True),
+    Ranking("HighlyDependentProducts", "ProductConcentrationScore", True, "percent_rank", few=True),
 ]
 
 
@@ -167,11 +167,12 @@ def supplier_exposure(star: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def company_dependency(star: Mapping[str, DataFrame]) -> DataFrame:
-    return with_share(supplier_exposure(star), "CompanyPurchaseDependencyPct")
+    """The sums per supplier are written once; the total and the ranks come from them."""
+    return with_share(materialize(supplier_exposure(star), "exposure"), "CompanyPurchaseDependencyPct")
 
 
 def dependency_scores(star: Mapping[str, DataFrame]) -> DataFrame:
-    return with_ranks(company_dependency(star), SCORES)
+    return with_ranks(company_dependency(star), SCORES, written=True)
 
 
 def business_impact(star: Mapping[str, DataFrame]) -> DataFrame:

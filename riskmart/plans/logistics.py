@@ -37,9 +37,9 @@ COLUMNS = [
 ]
 
 SCORES = [
-    Ranking("OnTimeDeliveryPct", "DeliveryPerformanceScore", True, "percent_rank"),
-    Ranking("AvgShippingCost", "CostEfficiencyScore", False, "percent_rank", few=False),
-    Ranking("DamageRatePct", "DamagePerformanceScore", False, "percent_rank"),
+    Ranking("OnTimeDeliveryPct", "DeliveryPerformanceScore", True, "percent_rank", few=True),
+    Ranking("AvgShippingCost", "CostEfficiencyScore", False, "percent_rank"),
+    Ranking("DamageRatePct", "DamagePerformanceScore", False, "percent_rank", few=True),
 ]
 
 

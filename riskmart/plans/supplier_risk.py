@@ -19,6 +19,7 @@ from riskmart.functions.exprs import (
     zero_if_null,
 )
 from riskmart.operators.ranks import Ranking, with_ranks, with_total
+from riskmart.sources.workspace import materialize
 
 PROFILE = [
     "SupplierKey",
@@ -54,10 +55,10 @@ COLUMNS = [
 ]
 
 SCORES = [
-    Ranking("LateShipmentPct", "LateDeliveryRiskScore", True, "percent_rank"),
-    Ranking("AvgDelayDays", "DelaySeverityRiskScore", True, "percent_rank"),
-    Ranking("AvgQualityScore", "QualityRiskScore", False, "percent_rank"),
-    Ranking("PurchaseDependencyPct", "DependencyRiskScore", True, "percent_rank"),
+    Ranking("LateShipmentPct", "LateDeliveryRiskScore", True, "percent_rank", few=True),
+    Ranking("AvgDelayDays", "DelaySeverityRiskScore", True, "percent_rank", few=True),
+    Ranking("AvgQualityScore", "QualityRiskScore", False, "percent_rank", few=True),
+    Ranking("PurchaseDependencyPct", "DependencyRiskScore", True, "percent_rank", few=True),
 ]
 
 
@@ -139,17 +140,18 @@ def supplier_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def with_share(metrics: DataFrame, out: str) -> DataFrame:
-    """Each supplier's part of all purchase value."""
+    """Each supplier's part of all purchase value; ``metrics`` is read for the total and for the rows."""
     share = percent(F.col("TotalPurchaseValue"), F.col("_all"))
     return with_total(metrics, "TotalPurchaseValue", "_all").withColumn(out, share).drop("_all")
 
 
 def dependency(star: Mapping[str, DataFrame]) -> DataFrame:
-    return with_share(supplier_metrics(star), "PurchaseDependencyPct")
+    """The sums are written once, a row per supplier: total, shares and ranks come from them, not from the facts."""
+    return with_share(materialize(supplier_metrics(star), "suppliers"), "PurchaseDependencyPct")
 
 
 def risk_scores(star: Mapping[str, DataFrame]) -> DataFrame:
-    return with_ranks(dependency(star), SCORES)
+    return with_ranks(dependency(star), SCORES, written=True)
 
 
 def composite(star: Mapping[str, DataFrame]) -> DataFrame:

@@ -51,6 +51,16 @@ def test_aggregates_are_partial_before_the_shuffle(mart):
         assert text.count("HashAggregate") >= 2 and "Expand" not in text
 
 
+def test_total_and_ranks_come_from_written_sums(mart):
+    """Facts are scanned once, when the sums are written: no plan that ranks them reads a fact."""
+    for df in (sr.dependency(mart), sr.supplier_risk(mart), sd.company_dependency(mart), sd.supplier_dependency(mart)):
+        text = plan(df)
+        assert not re.search(r"FactOrders|FactShipments|FactSupplierQuality|OrderStatus|DelayDays#", text)
+    views = db.build_views(mart)
+    for name in ("vw_supplier_risk_dashboard", "vw_supplier_dependency_dashboard"):
+        assert "OrderStatus" not in plan(views[name])
+
+
 def test_inventory_reads_one_partition_and_has_no_global_window(spark, mart):
     df = ir.inventory_risk(mart)
     text = plan(df)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from riskmart.operators import ranks
 from riskmart.operators.ranks import (
     Ranking,
     _attach,
@@ -48,9 +49,10 @@ def test_rank_of_text_and_of_identical_rows(spark):
 @pytest.mark.parametrize("keys", [[1], [5, 5, 5]])
 def test_percent_rank_of_one_row_or_equal_rows_is_zero(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "k int")
-    r = Ranking("k", "r", True, "percent_rank")
-    assert {x.r for x in with_global_rank(df, r).collect()} == {0}
-    assert {x.r for x in with_ranks(df, [r]).collect()} == {0}
+    for few in (True, False):
+        r = Ranking("k", "r", True, "percent_rank", few)
+        assert {x.r for x in with_global_rank(df, r).collect()} == {0}
+        assert {x.r for x in with_ranks(df, [r]).collect()} == {0}
 
 
 def test_empty_table(spark):
@@ -58,6 +60,40 @@ def test_empty_table(spark):
     assert with_global_rank(df, Ranking("k", "r")).count() == 0
 
 
+def test_ranks_of_several_kinds_in_one_pass(spark):
+    """Counts, decimals of two scales, floats and text: every rank is that of its own column."""
+    i = F.col("id")
+    df = spark.range(600).select(
+        "id", (i % 7).alias("n"), F.when(i % 11 > 0, i % 13).cast("decimal(10,2)").alias("d"), (i % 3 / 4).cast("decimal(6,3)").alias("e"),
+        (i % 5).cast("double").alias("f"), F.when(i % 4 > 0, F.format_string("t%d", i % 6)).alias("t"), (i % 97).cast("decimal(18,2)").alias("_n"),
+    )
+    specs = [("n", True, "rank"), ("d", False, "percent_rank"), ("e", True, "percent_rank"), ("f", False, "rank"), ("t", True, "rank")]
+    got = with_ranks(df, [Ranking(k, f"r_{k}", up, mode, few=True) for k, up, mode in specs] + [Ranking("_n", "r_many", True)])
+    for k, up, mode in [*specs, ("_n", True, "rank")]:
+        out = "r_many" if k == "_n" else f"r_{k}"
+        order = F.col(k).asc_nulls_first() if up else F.col(k).desc_nulls_last()
+        place = F.rank().over(Window.orderBy(order))
+        want = F.round(((place - 1) * 100).cast("decimal(20,0)") / 599, 2) if mode == "percent_rank" else place
+        assert got.withColumn("w", want).where(~F.col(out).eqNullSafe(F.col("w"))).count() == 0, k
+    assert got.columns == [*df.columns, *(f"r_{k}" for k, _, _ in specs), "r_many"]
+
+
+def test_too_many_values_are_no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "FEW_VALUES", 100)
+    assert with_ranks(spark.range(100), [Ranking("id", "r", few=True)]).count() == 100
+    with pytest.raises(Exception, match="too many to broadcast"):
+        with_ranks(spark.range(101), [Ranking("id", "r", few=True)]).collect()
+
+
+def test_keys_of_all_ranks_are_counted_once(spark):
+    df = spark.range(1000).selectExpr("id", "id % 7 AS a", "id % 11 AS b", "id % 13 AS c")
+    got = with_ranks(df, [Ranking(k, f"r_{k}", few=True) for k in "abc"])
+    got.collect()
+    text = got._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 2 and final.count("Range (") == 2
+
+
 def test_ranks_of_many_values_equal_those_of_few(spark):
     df = rows_with_ties(spark, 500)
     specs = [("k", "a", True, "rank"), ("k", "b", False, "percent_rank")]
@@ -94,9 +130,9 @@ def test_no_task_gets_the_rows_of_a_hot_key(spark, hot):
 
 def test_a_row_without_a_rank_is_an_error(spark):
     df = spark.range(5).withColumnRenamed("id", "k")
-    ranks, total, _ = rank_keys(df.where("k < 4"), "k")
+    found, total, _ = rank_keys(df.where("k < 4"), "k")
     with pytest.raises(Exception, match="without a rank"):
-        _attach(df, ranks, "k", total).collect()
+        _attach(df, found, "k", total).collect()
 
 
 def test_ordered_keys(spark):
