@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,27 +120,67 @@ def build_views(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return views
 
 
+def build_view(star: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """One of the nine views, and nothing that it does not show."""
+    if name in ANALYSES:
+        return ANALYSES[name](star)
+    build, base = DASHBOARDS[name]
+    return build(star, ANALYSES[base](star))
+
+
 _registered: dict[str, tuple[Mapping[str, DataFrame], list[str]]] = {}
 
 
-def register_all(star: Mapping[str, DataFrame]) -> None:
-    """The nine views as temporary views, under their usual names.
+def _session(spark: SparkSession) -> str:
+    return spark._jsparkSession.sessionUUID()
+
+
+def register_all(star: Mapping[str, DataFrame], spark: SparkSession | None = None) -> None:
+    """The nine views as temporary views of a session, under their usual names.
 
-    Views hold the latest snapshot and some ranks as they are now. A load in this session registers
-    the views of its mart again; after a load elsewhere, call this again. The tables that the
-    earlier views read are removed.
+    They show the tables of ``star``. A load in this session registers the views of its mart again; for loads
+    elsewhere use ``Views``, which follows them. The tables that the earlier views read are removed.
     """
-    spark = star["DimSupplier"].sparkSession
+    spark = spark or star["DimSupplier"].sparkSession
     with recording() as made:
         register_views(build_views(star))
-    before = _registered.get(spark.sparkContext.applicationId, (None, []))[1]
-    _registered[spark.sparkContext.applicationId] = star, made
+    before = _registered.get(_session(spark), (None, []))[1]
+    _registered[_session(spark)] = star, made
     remove(spark, before)
 
 
 def registered(spark: SparkSession) -> Mapping[str, DataFrame] | None:
-    """The mart whose views are registered in this application."""
-    return _registered.get(spark.sparkContext.applicationId, (None, []))[0]
+    """The mart whose views are registered in this session."""
+    return _registered.get(_session(spark), (None, []))[0]
+
+
+class Views(Mapping[str, DataFrame]):
+    """The nine views of a mart, planned when they are read: they show its last version, whoever loaded it.
+
+    ``open_mart(spark)`` opens the mart as it is now; its ``manifest`` tells its version.
+    """
+
+    def __init__(self, spark: SparkSession, open_mart: Callable[[SparkSession], Mapping[str, DataFrame]]):
+        self.spark, self.open_mart = spark, open_mart
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in (*ANALYSES, *DASHBOARDS):
+            raise KeyError(name)
+        return build_view(self.open_mart(self.spark), name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter((*ANALYSES, *DASHBOARDS))
+
+    def __len__(self) -> int:
+        return len(ANALYSES) + len(DASHBOARDS)
+
+    def sql(self, query: str) -> DataFrame:
+        """A query over the views by name; they are registered again first if the mart has a new version."""
+        star, shown = self.open_mart(self.spark), registered(self.spark)
+        now, then = getattr(star, "manifest", None), getattr(shown, "manifest", None)
+        if then is None or now is None or now.tables != then.tables:
+            register_all(star, self.spark)
+        return self.spark.sql(query)
 
 
 # Columns of the two reports, and the texts of their errors.

@@ -82,11 +82,19 @@ COLUMNS = [
 ]
 
 
-def latest_snapshot(inventory: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """One row: the last snapshot in the calendar, as date and as key."""
-    keys = inventory.select("DateKey").distinct()
-    dated = keys.join(dim_date.select("DateKey", "FullDate"), "DateKey")
-    return dated.agg(
+#: Table of one row per snapshot, written with the load.
+SNAPSHOTS = "InventorySnapshots"
+
+
+def snapshots(inventory: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """One row per snapshot in the calendar: DateKey, FullDate and its rows."""
+    counted = inventory.groupBy("DateKey").agg(F.count(F.lit(1)).alias("RowCount"))
+    return counted.join(dim_date.select("DateKey", "FullDate"), "DateKey").select("DateKey", "FullDate", "RowCount")
+
+
+def latest_snapshot(found: DataFrame) -> DataFrame:
+    """One row: the last snapshot in the calendar, as date and as key. Reads no stock row."""
+    return found.agg(
         F.max("FullDate").alias("LatestInventoryDate"),
         F.max_by("DateKey", "FullDate").alias("LatestDateKey"),
     )
@@ -95,10 +103,11 @@ def latest_snapshot(inventory: DataFrame, dim_date: DataFrame) -> DataFrame:
 def current_inventory(star: Mapping[str, DataFrame]) -> DataFrame:
     """Stock at the latest snapshot.
 
-    The latest key is one value, fetched first: as a literal it prunes the partitions of
-    the fact before planning, and no later job has to look for it again.
+    The latest key is a scalar subquery on the table of snapshots: it is looked up when the frame runs,
+    before the fact's files are listed, and prunes the fact to one partition.
     """
-    latest = latest_snapshot(star["FactInventory"], star["DimDate"]).first()
+    found = star[SNAPSHOTS] if SNAPSHOTS in star else snapshots(star["FactInventory"], star["DimDate"])
+    latest = latest_snapshot(found).select("LatestDateKey").scalar()
     product = star["DimProduct"].select(
         "ProductKey", "ProductID", "ProductName", "Category", "SubCategory", "UnitCost"
     )
@@ -110,7 +119,7 @@ def current_inventory(star: Mapping[str, DataFrame]) -> DataFrame:
         F.col("City").alias("WarehouseCity"),
     )
     day = star["DimDate"].select("DateKey", F.col("FullDate").alias("SnapshotDate"))
-    fact = star["FactInventory"].where(F.col("DateKey") == F.lit(latest.LatestDateKey))
+    fact = star["FactInventory"].where(F.col("DateKey") == latest)
     kept = ["InventoryKey", "InventoryRecordID", "ProductKey", "WarehouseKey", "DateKey"]
     kept += [c for c in FACTS["FactInventory"].measures if c != "RiskStatus"]
     return (

@@ -14,7 +14,9 @@ from riskmart.operators.dimensions import build_dimension, correct_dimension, da
 from riskmart.operators.facts import build_fact, with_fact_key
 from riskmart.operators.staging import stage, typed_columns
 from riskmart.plans.dashboards import register_all, registered
-from riskmart.sources.files import malformed_rows, read_raw_folder, write_table
+from riskmart.plans.inventory import SNAPSHOTS, snapshots
+from riskmart.sources import versions
+from riskmart.sources.files import malformed_rows, read_raw_folder
 from riskmart.sources.schemas import DIMENSIONS, FACTS, RAW_FILES, record_ids
 from riskmart.sources.workspace import scope
 
@@ -25,51 +27,45 @@ def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {table: stage(df, table) for table, df in raw.items()}
 
 
-def save(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
-    path = f"{folder.rstrip('/')}/{name}"
-    write_table(df, path, partition_by=PARTITIONED.get(name, ()))
-    return spark.read.schema(df.schema).parquet(path)
+def store(df: DataFrame, folder: str, name: str) -> versions.Stored:
+    return versions.write(df, folder, name, PARTITIONED.get(name, ()))
 
 
-def replace(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Replace a table by rows that may be read from it: written beside it first, then switched."""
-    path, beside = f"{folder.rstrip('/')}/{name}", f"{folder.rstrip('/')}/.{name}-next"
-    write_table(df, beside, partition_by=PARTITIONED.get(name, ()))
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
-    files = new.getFileSystem(conf)
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{beside} could not be put in place of {path}")
-    return spark.read.schema(df.schema).parquet(path)
+def save(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Replace a table by rows that may be read from it: the new version is seen when it is complete."""
+    kept = store(df, folder, name)
+    versions.publish(spark, folder, {name: kept})
+    return kept.open(spark, folder.rstrip("/"))
 
 
 def correct_table(spark: SparkSession, folder: str, name: str, corrections: DataFrame) -> DataFrame:
     """Overwrite attributes in a stored dimension by natural id; keys and unmatched rows stay."""
     dim = DIMENSIONS[name]
-    stored = spark.read.parquet(f"{folder.rstrip('/')}/{name}")
-    return replace(spark, correct_dimension(stored, corrections, dim.natural, dim.key), folder, name)
+    return save(spark, correct_dimension(Star(spark, folder)[name], corrections, dim.natural, dim.key), folder, name)
 
 
 class Star(Mapping[str, DataFrame]):
-    """Star schema tables below one folder, opened when first asked for."""
+    """Star schema tables of one version of a mart, the last one unless another is named.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self.folder = spark, folder.rstrip("/")
-        self._open: dict[str, DataFrame] = {}
+    It keeps that version: tables read later belong to those read before. What else a load wrote can be
+    asked for too (``staged/Orders``, ``malformed/Orders``, ``LoadReport``), but is not listed.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, manifest: versions.Manifest | None = None):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.manifest = versions.current(spark, self.folder) if manifest is None else manifest
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in (*DIMENSIONS, "DimDate", *FACTS):
-            raise KeyError(name)
-        if name not in self._open:
-            self._open[name] = self._spark.read.parquet(f"{self.folder}/{name}")
-        return self._open[name]
+        return self.manifest.tables[name].open(self.spark, self.folder)
 
     def __iter__(self) -> Iterator[str]:
-        return iter((*DIMENSIONS, "DimDate", *FACTS))
+        return (name for name in (*DIMENSIONS, "DimDate", *FACTS) if name in self.manifest.tables)
 
     def __len__(self) -> int:
-        return len(DIMENSIONS) + 1 + len(FACTS)
+        return sum(1 for _ in self)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self.manifest.tables
 
 
 def calendar_span(
@@ -130,7 +126,9 @@ def refresh(
     calendar: tuple[str, str] | None = None,
     dense_fact_keys: bool = False,
 ) -> Star:
-    """Load everything: staged tables, dimensions, then facts. Existing tables are replaced.
+    """Load everything: staged tables, dimensions, then facts. Existing tables are replaced, all in one moment.
+
+    What was there stays readable until then, and for readers that opened it until the load after the next.
 
     Without a ``calendar`` it covers the dates of the facts. Lines with a wrong number of
     fields are listed in malformed, and what was rejected or dropped is counted in LoadReport. Views of this mart that the application has registered are registered again.
@@ -140,30 +138,30 @@ def refresh(
     facts all read them, and parsing the text once is cheaper than parsing it for each.
     """
     raw = read_raw_folder(spark, raw_folder)
-    mart_folder = mart_folder.rstrip("/")
-    staged = {
-        t: save(spark, df, f"{mart_folder}/staged", t) for t, df in stage_all(raw).items()
-    }
+    raw_folder, mart_folder = raw_folder.rstrip("/"), mart_folder.rstrip("/")
+    made: dict[str, versions.Stored] = {}
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made[name] = store(df, mart_folder, name)
+        return made[name].open(spark, mart_folder)
+
+    staged = {t: keep(df, f"staged/{t}") for t, df in stage_all(raw).items()}
+    star: dict[str, DataFrame] = {}
     with scope(spark):
-        dims = {
-            name: save(spark, build_dimension(staged[dim.staged], name), mart_folder, name)
-            for name, dim in DIMENSIONS.items()
-        }
-        days = date_dimension(spark, *(calendar or calendar_span(staged)))
-        dims["DimDate"] = save(spark, days, mart_folder, "DimDate")
+        for name, dim in DIMENSIONS.items():
+            star[name] = keep(build_dimension(staged[dim.staged], name), name)
+        star["DimDate"] = keep(date_dimension(spark, *(calendar or calendar_span(staged))), "DimDate")
         for name, fact in FACTS.items():
-            rows = with_fact_key(
-                build_fact(staged[fact.staged], dims, name), name, dense_fact_keys
-            )
-            save(spark, rows, mart_folder, name)
-    star = Star(spark, mart_folder)
-    raw_folder = raw_folder.rstrip("/")
+            rows = with_fact_key(build_fact(staged[fact.staged], star, name), name, dense_fact_keys)
+            star[name] = keep(rows, name)
+    keep(snapshots(star["FactInventory"], star["DimDate"]), SNAPSHOTS)
     malformed = {
-        t: save(spark, malformed_rows(spark, f"{raw_folder}/{file}", t), f"{mart_folder}/malformed", t)
-        for t, file in RAW_FILES.items()
+        t: keep(malformed_rows(spark, f"{raw_folder}/{file}", t), f"malformed/{t}") for t, file in RAW_FILES.items()
     }
-    save(spark, load_report(spark, raw, malformed, staged, star), mart_folder, "LoadReport")
+    keep(load_report(spark, raw, malformed, staged, star), "LoadReport")
+    loaded = Star(spark, mart_folder, versions.publish(spark, mart_folder, made))
+    versions.expire(spark, mart_folder)
     shown = registered(spark)
-    if isinstance(shown, Star) and shown.folder == star.folder:
-        register_all(star)
-    return star
+    if isinstance(shown, Star) and shown.folder == loaded.folder:
+        register_all(loaded)
+    return loaded

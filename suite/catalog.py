@@ -25,9 +25,9 @@ from riskmart.plans import inventory as ir
 from riskmart.plans import kpis, load, reports
 from riskmart.plans import logistics as lp
 from riskmart.plans import supplier_risk as sr
-from riskmart.sources import files
+from riskmart.sources import files, versions
 from riskmart.sources.schemas import DIMENSIONS, FACTS, RAW_FILES, STAGED
-from riskmart.sources.workspace import work_path
+from riskmart.sources.workspace import materialize, work_path
 from suite import cte, mapping
 from suite.mart import Mart
 
@@ -125,7 +125,7 @@ def _refreshed(m: Mart) -> DataFrame:
     for t in RAW_FILES:
         files.write_table(m.raw(t), f"{landing}/{RAW_FILES[t]}", fmt="csv")
     load.refresh(m.spark, landing, folder, mapping.CALENDAR)
-    report = m.spark.read.parquet(f"{folder}/LoadReport")
+    report = load.Star(m.spark, folder)["LoadReport"]
     return report.where("Step in ('malformed', 'raw', 'staged') or TableName like 'Fact%'")
 
 
@@ -165,6 +165,25 @@ def _refreshed_inventory(m: Mart) -> DataFrame:
     )
 
 
+def _followed(m: Mart) -> DataFrame:
+    """Views opened on a mart without its last snapshots, read after another session has loaded them."""
+    folder = work_path(m.spark, "followed")
+    early = m["FactInventory"].where(F.col("DateKey") < m["FactInventory"].agg(F.max("DateKey")).scalar())
+    tables = {t: m[t] for t in m} | {"FactInventory": early}
+    first = {t: load.store(df, folder, t) for t, df in tables.items()}
+    first[ir.SNAPSHOTS] = load.store(ir.snapshots(early, m["DimDate"]), folder, ir.SNAPSHOTS)
+    versions.publish(m.spark, folder, first)
+    views = db.Views(m.spark, lambda spark: load.Star(spark, folder))
+    views.sql("SELECT COUNT(*) FROM vw_inventory_dashboard").collect()
+    other = m.spark.newSession()
+    late = other.read.schema(m["FactInventory"].schema).parquet(f"{folder}/{first['FactInventory'].path}")
+    late = late.unionByName(m["FactInventory"].join(early.select("InventoryKey"), "InventoryKey", "left_anti"))
+    second = {"FactInventory": load.store(late, folder, "FactInventory")}
+    second[ir.SNAPSHOTS] = load.store(ir.snapshots(late, m["DimDate"]), folder, ir.SNAPSHOTS)
+    versions.publish(other, folder, second)
+    return views.sql("SELECT SnapshotDate, InventoryRiskStatus, COUNT(*) AS RowCount FROM vw_inventory_dashboard GROUP BY ALL")
+
+
 def _by_name(m: Mart) -> DataFrame:
     """Rows of all nine views, by name."""
     db.register_all(m)
@@ -182,6 +201,11 @@ add(
     "SELECT DateKey, COUNT(*) AS RowCount, CAST(SUM(CurrentStock) AS BIGINT) AS CurrentStock "
     "FROM FactInventory GROUP BY DateKey",
 )
+add(
+    "snk_03_views_follow_a_load",
+    _followed,
+    "SELECT SnapshotDate, InventoryRiskStatus, COUNT(*) AS RowCount FROM IrRow GROUP BY ALL",
+)
 add(
     "snk_03_named_views",
     _by_name,
@@ -610,7 +634,7 @@ add("sd_10_supplier_dependency", lambda m: sd.supplier_dependency(m), "SELECT *
 
 add(
     "ir_01_latest_snapshot",
-    lambda m: ir.latest_snapshot(m["FactInventory"], m["DimDate"]),
+    lambda m: ir.latest_snapshot(m[ir.SNAPSHOTS]),
     "SELECT * FROM IrLatest",
 )
 add("ir_02_current_inventory", lambda m: ir.current_inventory(m), "SELECT * FROM IrNow")
@@ -705,6 +729,22 @@ add(
     lambda m: db.supplier_risk_report(sr.supplier_risk(m), None),
     f"SELECT {_RP1} FROM Sr WHERE FALSE",
 )
+
+
+def _rows_per_level(m: Mart) -> DataFrame:
+    """Rows of the report for every level, and for no level."""
+    view = materialize(sr.supplier_risk(m), "report")
+    return dq.table_counts({level or "none": db.supplier_risk_report(view, level) for level in (*RISK_LEVELS, None)})
+
+
+add(
+    "rp_01_supplier_report_rows",
+    _rows_per_level,
+    " UNION ALL ".join(
+        [f"SELECT '{v}' AS TableName, COUNT(*) AS RowCount FROM Sr WHERE RiskCategory='{v}'" for v in RISK_LEVELS]
+        + ["SELECT 'none', COUNT(*) FROM Sr WHERE RiskCategory=NULL"]
+    ),
+)
 for _status in STOCK_STATUSES:
     add(
         f"rp_02_inventory_report_{_status.lower().replace(' ', '_')}",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskmart.operators.dimensions import date_dimension
 from riskmart.operators.staging import stage
 from riskmart.operators.transforms import with_utilization
+from riskmart.plans.inventory import SNAPSHOTS, snapshots
 from riskmart.plans.load import PARTITIONED
 from riskmart.sources.files import write_table
 from riskmart.sources.schemas import RAW_FILES
@@ -131,6 +132,8 @@ class Mart(Mapping[str, DataFrame]):
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name == SNAPSHOTS:
+            return self._stored(name, lambda: snapshots(self["FactInventory"], self["DimDate"]))
         if name not in STAR:
             raise KeyError(name)
         return self._stored(name, lambda: _star_table(self.sources, name))
@@ -141,6 +144,9 @@ class Mart(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(STAR)
 
+    def __contains__(self, name: object) -> bool:
+        return name in (*STAR, SNAPSHOTS)
+
     def raw(self, table: str) -> DataFrame:
         """Landed text rows derived from the given tables, some of them spoiled."""
         source, columns = mapping.RAW_SOURCE[table], mapping.RAW_COLUMNS[table]

@@ -1,12 +1,16 @@
 """Raw CSV files to views, and the same again."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from riskmart.operators import quality as dq
 from riskmart.plans import dashboards as db
+from riskmart.plans import inventory as ir
+from riskmart.plans import load
 from riskmart.plans.load import Star, correct_table, refresh, save
-from riskmart.sources import workspace
+from riskmart.sources import versions, workspace
 from riskmart.sources.files import malformed_rows, write_table
 from riskmart.sources.schemas import DIMENSIONS, FACTS, RAW_FILES
 from suite import mapping
@@ -33,7 +37,7 @@ def test_refresh_builds_the_whole_mart_and_can_be_repeated(spark, landing, tmp_p
         star["stg"]
 
     counts = {r.TableName: r.RowCount for r in dq.table_counts(star).collect()}
-    staged = {t: spark.read.parquet(f"{folder}/staged/{t}") for t in RAW_FILES}
+    staged = {t: star[f"staged/{t}"] for t in RAW_FILES}
     cover = {r.FactName: r for r in dq.mapping_coverage(spark, staged, star).collect()}
     for fact in FACTS:
         assert counts[fact] == cover[fact].MappedRows
@@ -58,11 +62,11 @@ def test_refresh_builds_the_whole_mart_and_can_be_repeated(spark, landing, tmp_p
     again = refresh(spark, landing, folder, dense_fact_keys=True)
     assert again["DimDate"].count() > 365 * 5
     assert shown(refresh(spark, landing, folder, mapping.CALENDAR, dense_fact_keys=True)) == first
-    report = {(r.Step, r.TableName): r.RowCount for r in spark.read.parquet(f"{folder}/LoadReport").collect()}
+    report = {(r.Step, r.TableName): r.RowCount for r in Star(spark, folder)["LoadReport"].collect()}
     assert all(report["loaded", t] == n for t, n in counts.items())
     assert report["raw", "Orders"] == report["staged", "Orders"] == cover["FactOrders"].StagingRows
     assert report["rejected", "Orders"] > 0 and report["unmapped", "FactOrders"] > 0
-    inventory = star["FactInventory"]
+    inventory = Star(spark, folder)["FactInventory"]
     assert inventory.inputFiles()[0].split("/")[-2].startswith("DateKey=")
 
 
@@ -107,11 +111,11 @@ def test_malformed_rows_are_reported(spark, tmp_path):
 def test_corrections_are_written_back(spark, tmp_path):
     mart, folder = Mart.open(spark, SF), str(tmp_path)
     save(spark, mart["DimSupplier"], folder, "DimSupplier")
-    before = {r.SupplierID: r.asDict() for r in spark.read.parquet(f"{folder}/DimSupplier").collect()}
+    before = {r.SupplierID: r.asDict() for r in Star(spark, folder)["DimSupplier"].collect()}
     changed = sorted(before)[:3]
     fixes = mart["DimSupplier"].drop("SupplierKey").where(F.col("SupplierID").isin(changed)).withColumn("Country", F.lit(None).cast("string"))
     correct_table(spark, folder, "DimSupplier", fixes)
-    after = {r.SupplierID: r.asDict() for r in spark.read.parquet(f"{folder}/DimSupplier").collect()}
+    after = {r.SupplierID: r.asDict() for r in Star(spark, folder)["DimSupplier"].collect()}
     assert after == {k: v | ({"Country": None} if k in changed else {}) for k, v in before.items()}
 
 
@@ -121,6 +125,98 @@ def test_save_replaces_the_table(spark, tmp_path):
         assert saved.count() == n
 
 
+def test_readers_never_miss_a_table(spark, tmp_path):
+    """One thread reads all along while a table is replaced: it sees whole versions only."""
+    folder, seen, stop = str(tmp_path), [], threading.Event()
+    save(spark, spark.range(100).withColumn("v", F.lit(0)), folder, "T")
+
+    def read():
+        while not stop.is_set():
+            seen.append(tuple(Star(spark, folder)["T"].agg(F.count("*"), F.min("v"), F.max("v")).first()))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for v in range(1, 9):
+            save(spark, spark.range(100).withColumn("v", F.lit(v)), folder, "T")
+    finally:
+        stop.set()
+        reader.join()
+    assert seen and all(n == 100 and low == high for n, low, high in seen)
+    assert [x[1] for x in seen] == sorted(x[1] for x in seen)
+
+
+def test_a_load_that_stops_midway_changes_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    save(spark, spark.range(5), folder, "T")
+    old = Star(spark, folder)
+    load.store(spark.range(9), folder, "T")  # written, never published
+    assert Star(spark, folder)["T"].count() == 5
+    (tmp_path / versions.LOG / "0000000002.json").write_text('{"T": {"pa')  # its writer was lost
+    assert Star(spark, folder).manifest.version == 1 and Star(spark, folder)["T"].count() == 5
+    assert save(spark, spark.range(7), folder, "T").count() == 7
+    assert Star(spark, folder).manifest.version == 3
+    assert old["T"].count() == 5  # a reader keeps the version it opened
+
+
+def test_versions_expire(spark, tmp_path):
+    folder = str(tmp_path)
+    save(spark, spark.range(1), folder, "Other")
+    for n in range(1, 5):
+        save(spark, spark.range(n), folder, "T")
+    versions.expire(spark, folder, keep=2)
+    assert len(list((tmp_path / "T").iterdir())) == 2 and len(list((tmp_path / versions.LOG).glob("*.json"))) == 2
+    star = Star(spark, folder)
+    assert star["T"].count() == 4 and star["Other"].count() == 1
+
+
+def test_loads_that_meet_take_turns(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load_one(name):
+        versions.publish(spark, folder, {name: load.store(spark.range(3), folder, name)})
+
+    threads = [threading.Thread(target=load_one, args=(f"T{i}",)) for i in range(6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    found = versions.current(spark, folder)
+    assert found.version == 6 and set(found.tables) == {f"T{i}" for i in range(6)}
+
+
+def test_views_follow_a_load_in_another_session(spark, landing, tmp_path):
+    folder = str(tmp_path / "mart")
+    refresh(spark, landing, folder, mapping.CALENDAR)
+    views = db.Views(spark.newSession(), lambda session: Star(session, folder))
+    count = "SELECT COUNT(*) AS n, COUNT(DISTINCT Country) AS c FROM vw_supplier_risk_analysis"
+    before = views.sql(count).first()
+    assert before.n == views["vw_supplier_dependency"].count() > 0 and before.c > 1
+    fixes = Star(spark, folder)["DimSupplier"].drop("SupplierKey").withColumn("Country", F.lit("India"))
+    correct_table(spark, folder, "DimSupplier", fixes)
+    assert tuple(views.sql(count).first()) == (before.n, 1)
+    assert views["vw_supplier_risk_dashboard"].select("Country").distinct().count() == 1
+    assert len(views) == 9 and set(views) == {*db.ANALYSES, *db.DASHBOARDS}
+
+
+def test_latest_snapshot_opens_no_older_file(spark, tmp_path):
+    """Files of older snapshots are spoiled: the frame is built and run without touching them."""
+    mart, folder = Mart.open(spark, SF), str(tmp_path)
+    tables = {t: load.store(mart[t], folder, t) for t in (*mart, ir.SNAPSHOTS)}
+    versions.publish(spark, folder, tables)
+    star = Star(spark, folder)
+    want = sorted(map(tuple, ir.current_inventory(star).collect()))
+    latest = star["FactInventory"].agg(F.max("DateKey")).first()[0]
+    files = list((tmp_path / tables["FactInventory"].path).glob("DateKey=*/part-*.parquet"))
+    old = [f for f in files if f.parent.name != f"DateKey={latest}"]
+    assert old and len(old) < len(files)
+    for f in old:
+        f.write_bytes(b"spoiled")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    assert sorted(map(tuple, ir.current_inventory(Star(spark, folder)).collect())) == want
+    assert "FactInventory" not in ir.latest_snapshot(star[ir.SNAPSHOTS])._jdf.queryExecution().executedPlan().toString()
+
+
 class FakeSession:
     """Just what the work folder is read from."""
 

@@ -55,7 +55,7 @@ def test_total_and_ranks_come_from_written_sums(mart):
     """Facts are scanned once, when the sums are written: no plan that ranks them reads a fact."""
     for df in (sr.dependency(mart), sr.supplier_risk(mart), sd.company_dependency(mart), sd.supplier_dependency(mart)):
         text = plan(df)
-        assert not re.search(r"FactOrders|FactShipments|FactSupplierQuality|OrderStatus|DelayDays#", text)
+        assert not re.search(r"FactOrders|FactShipments|FactSupplierQuality|OrderStatus|\bDelayDays#", text)
     views = db.build_views(mart)
     for name in ("vw_supplier_risk_dashboard", "vw_supplier_dependency_dashboard"):
         assert "OrderStatus" not in plan(views[name])
@@ -65,9 +65,8 @@ def test_inventory_reads_one_partition_and_has_no_global_window(spark, mart):
     df = ir.inventory_risk(mart)
     text = plan(df)
     assert "SinglePartition" not in text
-    latest = ir.latest_snapshot(mart["FactInventory"], mart["DimDate"]).first().LatestDateKey
     text = plan(ir.current_inventory(mart))
-    assert re.search(rf"PartitionFilters: \[[^\]]*DateKey#\d+ = {latest}", text)
+    assert re.search(r"PartitionFilters: \[[^\]]*DateKey#\d+ = Subquery", text)
 
 
 def test_status_counts_need_no_rank(mart):
