@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.domains import COUNTRIES
 from riskmart.functions.exprs import MONEY, mean, money_sum, percent
-from riskmart.operators.facts import matched
 from riskmart.operators.staging import parse, typed_columns
 from riskmart.sources.schemas import DIMENSIONS, FACTS
 
@@ -76,19 +75,33 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _partners(dims: Mapping[str, DataFrame], name: str) -> dict[str, DataFrame]:
+    """Per column that a fact looks up, how many rows of the dimension or the calendar hold each value."""
+    fact = FACTS[name]
+    found = {DIMENSIONS[d].natural: dims[d].select(DIMENSIONS[d].natural) for d in fact.dimensions}
+    found |= {day: dims["DimDate"].select(F.col("FullDate").alias(day)) for day in fact.dates}
+    return {c: df.groupBy(c).agg(F.count(F.lit(1)).alias(f"_n_{c}")) for c, df in found.items()}
+
+
 def mapping_coverage(
     spark: SparkSession, staged: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Per fact: staged rows, and rows that find every dimension and every date."""
+    """Per fact: staged rows, and the rows that a load makes of those with a partner for every key and date.
+
+    Each staged table is read once, with the columns that look something up; its rows stay where they are
+    unless a dimension is too large to broadcast.
+    """
     parts = []
     for name, fact in FACTS.items():
-        rows = staged[fact.staged]
+        partners = _partners(dims, name)
+        rows, mapped = staged[fact.staged].select(*partners), F.lit(1).cast("bigint")
+        for column, counts in partners.items():
+            rows = rows.join(counts, column, "left")
+            mapped = mapped * F.coalesce(F.col(f"_n_{column}"), F.lit(0))
         parts.append(
-            spark.range(1).select(
-                F.lit(name).alias("FactName"),
-                rows.agg(F.count(F.lit(1))).scalar().alias("StagingRows"),
-                matched(rows, dims, name).agg(F.count(F.lit(1))).scalar().alias("MappedRows"),
-            )
+            rows.agg(
+                F.count(F.lit(1)).alias("StagingRows"), F.coalesce(F.sum(mapped), F.lit(0)).alias("MappedRows")
+            ).select(F.lit(name).alias("FactName"), "StagingRows", "MappedRows")
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -105,23 +118,32 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = Non
 def orphan_counts(star: Mapping[str, DataFrame]) -> DataFrame:
     """Rows without a partner for each of the 18 foreign keys.
 
-    Keys are counted first, so that each join sees one row per distinct key.
+    Every fact is read once: its key columns become rows, which are counted per column and key before they are
+    shuffled. What is left, a row per key in use, meets the keys of all dimensions in one join.
     """
-    parts = []
-    for name, fact in FACTS.items():
-        targets = [(DIMENSIONS[d].key, d, DIMENSIONS[d].key) for d in fact.dimensions]
-        targets += [(c, "DimDate", "DateKey") for c in fact.dates.values()]
-        for column, dim, dim_key in targets:
-            keys = star[name].groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-            lost = orphans(keys, star[dim], column, dim_key)
-            parts.append(
-                lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("OrphanRows")).select(
-                    F.lit(name).alias("FactName"),
-                    F.lit(column).alias("KeyColumn"),
-                    "OrphanRows",
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+    targets = {
+        name: [(DIMENSIONS[d].key, d) for d in fact.dimensions] + [(c, "DimDate") for c in fact.dates.values()]
+        for name, fact in FACTS.items()
+    }
+    used = []
+    for name, columns in targets.items():
+        cells = [
+            F.struct(F.lit(c).alias("KeyColumn"), F.lit(d).alias("_dim"), F.col(c).cast("bigint").alias("_key"))
+            for c, d in columns
+        ]
+        keys = star[name].select(F.inline(F.array(*cells))).groupBy("KeyColumn", "_dim", "_key")
+        used.append(keys.agg(F.count(F.lit(1)).alias("_rows")).withColumn("FactName", F.lit(name)))
+    known = [
+        star[d].select(F.lit(d).alias("_dim"), F.col(DIMENSIONS[d].key if d in DIMENSIONS else "DateKey").cast("bigint").alias("_key"))
+        for d in (*DIMENSIONS, "DimDate")
+    ]
+    partner = reduce(DataFrame.unionByName, known).distinct().withColumn("_known", F.lit(True))
+    met = reduce(DataFrame.unionByName, used).join(partner, ["_dim", "_key"], "left")
+    lost = met.select("FactName", "KeyColumn", F.when(F.col("_known").isNull(), F.col("_rows")).otherwise(0).alias("_lost"))
+    # A fact without rows still has its keys listed.
+    listed = [(name, c, 0) for name, columns in targets.items() for c, _ in columns]
+    every = lost.sparkSession.createDataFrame(listed, "FactName string, KeyColumn string, _lost bigint")
+    return lost.unionByName(every).groupBy("FactName", "KeyColumn").agg(F.sum("_lost").alias("OrphanRows"))
 
 
 def delay_mismatches(shipments: DataFrame) -> DataFrame:

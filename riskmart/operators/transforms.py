@@ -208,36 +208,41 @@ def stock_cells(
     )
 
 
+def _bucket_of(sizes: DataFrame, n: Column) -> DataFrame:
+    """One row or none: the bucket (_b) in which the n-th row falls, and how many rows come before it."""
+    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    edges = sizes.select("_b", "_rows", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    return edges.where((F.col("_before") < n) & (F.col("_before") + F.col("_rows") >= n))
+
+
 def draw(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by a seeded hash of their unique key.
+    """``n`` rows chosen by a seeded hash of their unique key: those with the smallest hashes.
 
-    The choice depends on key and seed alone, so it is the same at any parallelism. Rows
-    are counted per hash bucket; whole buckets are taken up to the one where ``n`` falls.
-    That one is split by the next bits of the hash in the same way, and only the bucket where
-    ``n`` falls then, 1/2**32 of the rows, is sorted.
+    The choice depends on key and seed alone, so it is the same at any parallelism. ``df`` is read twice: rows
+    are counted per hash bucket first, then those up to the bucket where the n-th falls are written, which are
+    ``n`` and 1/2**16 of the rows. That bucket is cut in the same way by the next bits of the hash, from
+    what was written, and only the bucket where the n-th row falls then, 1/2**32 of the rows, is sorted.
     """
+    if n <= 0:
+        return df.limit(0)
     bits = 16
     hashed = df.withColumn("_h", F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)))
-    rest, left, taken = hashed, F.lit(n).cast("bigint"), []
-    for shift in (64 - bits, 64 - 2 * bits):
-        number = F.shiftright("_h", shift)  # in the order of the hash
-        sizes = rest.groupBy(number.alias("_b")).agg(F.count(F.lit(1)).alias("_rows"))
-        earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        edges = sizes.select("_b", "_rows", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-        end = F.col("_before") + F.col("_rows")
-        whole = edges.where(end <= left).select("_b")
-        cut = edges.where((F.col("_before") < left) & (end > left))
-        numbered = rest.withColumn("_b", number)
-        taken.append(numbered.join(F.broadcast(whole), "_b", "left_semi").select(*df.columns))
-        rest = numbered.join(F.broadcast(cut.select("_b")), "_b", "left_semi").drop("_b")
-        left = cut.select(left - F.col("_before")).scalar()
-    place = F.row_number().over(Window.partitionBy("_h").orderBy(*keys))
-    last = rest.groupBy("_h").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    last = last.select("_h", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    edge = rest.join(F.broadcast(last), "_h").withColumn("_place", place)
-    taken.append(edge.where(F.col("_before") + F.col("_place") <= left).select(*df.columns))
-    return taken[0].unionByName(taken[1]).unionByName(taken[2])
+    numbers = [F.shiftright("_h", 64 - bits), F.shiftright("_h", 64 - 2 * bits)]  # in the order of the hash
+    counts = F.count(F.lit(1)).alias("_rows")
+    wanted = F.lit(n).cast("bigint")
+    cut = _bucket_of(hashed.groupBy(numbers[0].alias("_b")).agg(counts), wanted)
+    last = F.coalesce(cut.select("_b").scalar(), F.lit(1 << bits).cast("bigint"))  # fewer rows than n: all
+    near = materialize(hashed.where(numbers[0] <= last).withColumn("_last", numbers[0] == last), "drawn")
+    whole = near.where("NOT _last").select(*df.columns)
+    rest = near.where("_last")
+    left = wanted - near.agg(F.count_if(~F.col("_last"))).scalar()
+    inner = _bucket_of(rest.groupBy(numbers[1].alias("_b")).agg(counts), left)
+    edge = F.coalesce(inner.select("_b").scalar(), F.lit(-(1 << 62)))
+    before = F.coalesce(inner.select("_before").scalar(), F.lit(0))
+    middle = rest.where(numbers[1] < edge).select(*df.columns)
+    place = F.row_number().over(Window.partitionBy("_last").orderBy("_h", *keys))
+    end = rest.where(numbers[1] == edge).withColumn("_place", place).where(F.col("_place") <= left - before)
+    return whole.unionByName(middle).unionByName(end.select(*df.columns))
 
 
 def with_available_stock(stock: DataFrame) -> DataFrame:

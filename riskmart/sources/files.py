@@ -4,47 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskmart.operators.staging import parse
+from riskmart.sources.records import records
 from riskmart.sources.schemas import RAW_FILES, STAGED, raw_schema
 
 
+CSV = {"quote": '"', "escape": '"'}
+
+
 def read_raw(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """One raw table, every column text.
 
     The header is checked against the expected names. Quotes are doubled inside quoted
-    fields. An empty field is a missing value. ``multi_line`` accepts line breaks in fields
-    but reads each file in one task.
+    fields. An empty field is a missing value. ``multi_line`` accepts line breaks in fields, which read as
+    line feeds; the lines of a file are then shuffled once by byte range.
     """
-    return spark.read.csv(
-        path,
-        schema=raw_schema(table),
-        header=True,
-        enforceSchema=False,
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-    )
+    schema = raw_schema(table)
+    if not multi_line:
+        return spark.read.csv(path, schema=schema, header=True, enforceSchema=False, **CSV)
+    names = ",".join(schema.names)
+    wrong = F.concat(F.lit(f"the header does not name {names}: "), F.col("record"))
+    bare = F.replace(F.col("record"), F.lit('"'))
+    rows = records(spark, path).withColumn("_head", F.when(F.col("first") & (bare != names), F.raise_error(wrong)).otherwise(F.col("first").cast("string")))
+    return rows.where("_head = 'false'").select(_fields(schema).alias("r")).select("r.*")
+
+
+def _fields(schema: StructType, text: str = "record") -> Column:
+    return F.from_csv(F.col(text), schema.simpleString()[len("struct<") : -1].replace(":", " "), CSV)
 
 
 MALFORMED = "MalformedRow"
 
 
-def malformed_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
+def malformed_rows(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """Lines with too many or too few fields: their fields as far as they go, and the line itself.
 
     ``read_raw`` drops surplus fields and fills missing ones with NULL; these are the rows where it did.
-    Commas count outside quotes only. Line breaks inside fields are not looked for.
+    Commas count outside quotes only. With ``multi_line`` line breaks do too.
     """
     schema = raw_schema(table)
     line = F.col("value")
+    lines = records(spark, path).select(F.col("record").alias("value")) if multi_line else spark.read.text(path)
     bare = F.regexp_replace(line, '"([^"]|"")*"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
-    found = spark.read.text(path).where((fields != len(schema)) & (F.trim(line) != ""))
-    parsed = F.from_csv(line, schema.simpleString()[len("struct<") : -1].replace(":", " "), {"quote": '"', "escape": '"'})
-    return found.select(parsed.alias("r"), line.alias(MALFORMED)).select("r.*", MALFORMED)
+    found = lines.where((fields != len(schema)) & (F.trim(line) != ""))
+    return found.select(_fields(schema, "value").alias("r"), line.alias(MALFORMED)).select("r.*", MALFORMED)
 
 
 def read_raw_folder(

@@ -96,6 +96,23 @@ add(
 )
 
 
+def _line_breaks(m: Mart) -> DataFrame:
+    """Suppliers with line breaks and quotes in their names, as CSV and read again by byte ranges."""
+    path = f"{work_path(m.spark, 'landing')}/{RAW_FILES['Suppliers']}"
+    name = F.expr("SupplierName || chr(10) || chr(34) || Country || chr(34) || ',' || chr(10)")
+    files.write_table(m.raw("Suppliers").withColumn("SupplierName", name), path, fmt="csv")
+    return files.read_raw(m.spark, path, "Suppliers", multi_line=True)
+
+
+add(
+    "src_04_line_breaks",
+    _line_breaks,
+    "SELECT "
+    + _list(*[f"NULLIF({c},'') AS {c}" for c in STAGED["Suppliers"] if c != "SupplierName"])
+    + ", SupplierName || chr(10) || chr(34) || Country || chr(34) || ',' || chr(10) AS SupplierName FROM RawSuppliers",
+)
+
+
 def _broken_lines(m: Mart) -> DataFrame:
     """Carriers as lines without quotes: some with a comma too many, some with a field too few."""
     path = f"{work_path(m.spark, 'landing')}/{RAW_FILES['Carriers']}"

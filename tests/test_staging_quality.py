@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskmart.operators import quality as dq
 from riskmart.operators.staging import parse, stage
 from riskmart.sources.files import read_raw, write_table
-from riskmart.sources.schemas import raw_schema
+from riskmart.sources.schemas import DIMENSIONS, FACTS, raw_schema
 
 
 @pytest.mark.parametrize(
@@ -148,3 +148,16 @@ def test_csv_quoted_comma_from_plain_file(spark, tmp_path):
     got = {r.CarrierID: r for r in read_raw(spark, str(path), "Carriers").collect()}
     assert got["C1"].CarrierName == 'One, Two and "Three" Ltd'
     assert got["C2"].CarrierType is None
+
+
+def test_orphan_counts_list_every_key(spark):
+    """Missing and unknown keys count, duplicates in a dimension do not; an empty fact is listed with zeros."""
+    star = {name: spark.createDataFrame([(k,) for k in (1, 2, 2)], f"{d.key} int") for name, d in DIMENSIONS.items()}
+    star["DimDate"] = spark.createDataFrame([(20220101,)], "DateKey int")
+    for name, fact in FACTS.items():
+        columns = [DIMENSIONS[d].key for d in fact.dimensions] + list(fact.dates.values())
+        rows = [] if name == "FactInventory" else [tuple(1 if c in {d.key for d in DIMENSIONS.values()} else 20220101 for c in columns), (None,) * len(columns), (99,) * len(columns)]
+        star[name] = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in columns))
+    got = {(r.FactName, r.KeyColumn): r.OrphanRows for r in dq.orphan_counts(star).collect()}
+    assert len(got) == 18
+    assert all(n == (0 if name == "FactInventory" else 2) for (name, _), n in got.items())
