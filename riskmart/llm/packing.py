@@ -1,8 +1,9 @@
 """Packing of tokenised documents into sequences: first-fit decreasing on a tournament tree.
 
 Each document is cut into whole sequences and a rest shorter than one. A whole sequence fills a
-bin by itself. The rests are packed first-fit decreasing, in groups drawn by a hash of the
-document number: groups have a bounded size, and no group depends on another.
+bin by itself. The rests are packed first-fit decreasing, in groups drawn by a hash of the document and
+of a number that is written with each piece: groups have a bounded size, however many rows share a
+document number or a text, and no group depends on another.
 """
 
 from __future__ import annotations
@@ -88,11 +89,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, en
     """One row per piece: PIECES, then sequence_id and offset (the piece's place in its sequence).
 
     Null and empty texts are one end id. Very long texts give many whole pieces, dealt out piece by
-    piece. Rows that repeat a doc_id are packed like others. An empty table gives no rows. Other
+    piece. Rows that repeat a doc_id, or have none, are packed like others. An empty table gives no rows. Other
     columns take no part.
     """
     scratch = Scratch(docs.sparkSession, "packing")
-    cut = scratch.save(pieces(docs, tokenizer or default_path(), capacity, end_id), "pieces")
+    cut = pieces(docs, tokenizer or default_path(), capacity, end_id)
+    # The number is written with the piece, so that pieces of equal documents spread over groups, the same on every use.
+    cut = scratch.save(cut.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    spread = F.xxhash64("doc_id", "start", "ids_crc32", "piece")
     rest, whole = cut.where(F.col("length") < capacity), cut.where(F.col("length") == capacity)
     n_rest, n_whole = cut.agg(F.count_if(F.col("length") < capacity), F.count_if(F.col("length") == capacity)).first()
     groups = max(1, -(-n_rest // group_docs))
@@ -105,14 +109,13 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, en
         pdf["offset"] = [at for _, at in placed]
         return pdf
 
-    group = F.pmod(F.xxhash64("doc_id"), F.lit(groups))
-    packed = rest.withColumn("group", group).groupBy("group").applyInPandas(run, f"{PIECES}, sequence_id long, offset long")
-    drawn = F.pmod(F.xxhash64("doc_id", "start"), F.lit(whole_groups)) + groups
+    packed = rest.withColumn("group", F.pmod(spread, F.lit(groups))).drop("piece").groupBy("group").applyInPandas(run, f"{PIECES}, sequence_id long, offset long")
+    drawn = F.pmod(spread, F.lit(whole_groups)) + groups
     number = F.row_number().over(Window.partitionBy("group").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")) - 1
     filled = (
         whole.withColumn("group", drawn)
         .withColumn("sequence_id", F.shiftleft(F.col("group").cast("long"), 32) + number)
         .withColumn("offset", F.lit(0).cast("long"))
-        .drop("group")
+        .drop("group", "piece")
     )
     return packed.unionByName(filled)

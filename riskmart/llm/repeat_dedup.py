@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from riskmart.llm.repeat_index import RunLengthIndex
 from riskmart.llm.scratch import Scratch
 from riskmart.llm.tables import arrow, only, rows
-from riskmart.llm.textbytes import BYTE_VALUES, flat, slices, span_hash
+from riskmart.llm.textbytes import BYTE_VALUES, flat_binary, slices, span_hash
 
 WINDOW = 400
 GRAMS = 8  # an anchor has at first an eighth of the window's bytes, then 3, 5 and 7 eighths
@@ -98,7 +98,7 @@ def _cut(texts: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
-            doc, anchor, frag, start, n = fragments(*flat(batch.column("text")), window, gram)
+            doc, anchor, frag, start, n = fragments(*flat_binary(batch.column("text")), window, gram)
             order = np.lexsort((start, frag, anchor, doc))
             own = np.column_stack((doc, anchor, frag))[order]
             new = np.append(True, (own[1:] != own[:-1]).any(1)) if len(own) else np.zeros(0, bool)
@@ -133,7 +133,7 @@ def _pieces(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
-            raw, offsets = flat(batch.column("text"))
+            raw, offsets = flat_binary(batch.column("text"))
             data = raw.tobytes()
             out: list[tuple] = []
             for i, (number, own) in enumerate(zip(batch.column("id").to_pylist(), batch.column("w").to_pylist(), strict=True)):
@@ -155,7 +155,7 @@ def _indexed(pieces: DataFrame, window: int, shards: int) -> DataFrame:
     def match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("anchor", "ascending"), ("id", "ascending"), ("start", "ascending")])
         column = table["text"].combine_chunks()
-        raw, offsets = flat(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column)
+        raw, offsets = flat_binary(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column)
         ends = offsets[1:] + np.arange(len(offsets) - 1)
         joined = np.zeros(len(raw) + len(ends), np.uint8)
         body = np.ones(len(joined), bool)
@@ -223,7 +223,7 @@ def _results(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
-            raw, offsets = flat(batch.column("text"))
+            raw, offsets = flat_binary(batch.column("text"))
             out: list[tuple] = []
             cells = (batch.column(c).to_pylist() for c in ("tid", "copies", "s"))
             for a, b, tid, copies, s in zip(offsets[:-1].tolist(), offsets[1:].tolist(), *cells, strict=True):

@@ -32,8 +32,16 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a text or binary column and the n + 1 offsets into them; null counts as empty."""
-    values = pa.compute.fill_null(column.cast(pa.large_binary()), b"")
+    """All bytes of a text column and the n + 1 offsets into them; null counts as empty."""
+    return _flat(pa.compute.fill_null(column, "").cast(pa.large_string()))
+
+
+def flat_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As flat, of a binary column."""
+    return _flat(pa.compute.fill_null(column, b"").cast(pa.large_binary()))
+
+
+def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
     data = values.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

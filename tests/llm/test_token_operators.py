@@ -4,6 +4,7 @@ import json
 import random
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -127,6 +128,15 @@ def test_packing(spark, coder):
     assert sum(x["length"] for x in got) / (256 * len(bins)) > 0.97
 
 
+def test_groups_stay_small_without_numbers(spark, coder):
+    """A third of the rows has no doc_id, another third one text under one number: no group gets all of them."""
+    texts = sentences(700, 3, low=1, high=12)
+    rows = [(None, t) for t in texts] + [(7, "the same")] * 700 + [(100 + i, t) for i, t in enumerate(texts)]
+    got = packing.pack(docs(spark, rows), group_docs=100).collect()
+    sizes = Counter(x["sequence_id"] >> 32 for x in got)
+    assert sum(sizes.values()) == 2100 and len(sizes) == 21 and max(sizes.values()) < 200
+
+
 def test_packing_awkward(spark, coder):
     rows = [(r["doc_id"], r["text"]) for r in awkward(spark).collect()]
     got = packing.pack(awkward(spark)).collect()
