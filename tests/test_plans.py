@@ -12,6 +12,7 @@ from riskmart.plans import dashboards as db
 from riskmart.plans import dependency as sd
 from riskmart.plans import inventory as ir
 from riskmart.plans import supplier_risk as sr
+from riskmart.sources.schemas import FACTS
 from suite.catalog import QUERIES
 from suite.mart import Mart
 
@@ -131,6 +132,22 @@ def test_no_cross_joins(spark, mart):
     assert "NestedLoop" not in plan(QUERIES["tr_13_stock_grid"](spark, SF))
 
 
+def test_key_checks_read_every_fact_once(mart):
+    """Four facts and five dimensions for all 18 keys; per staged table one scan and one of each partner."""
+    assert plan(dq.orphan_counts({k: mart[k] for k in mart})).count("FileScan parquet") == 9
+    staged = mart.staged_all()
+    text = plan(dq.mapping_coverage(mart.spark, staged, mart))
+    partners = sum(len(f.dimensions) + len(f.dates) for f in FACTS.values())
+    assert text.count("FileScan parquet") == len(FACTS) + partners and "CartesianProduct" not in text
+
+
+def test_a_draw_reads_its_table_twice(mart):
+    """Once for the counts and once for the rows, both while it is built: the frame reads what was written."""
+    text = plan(tr.draw(mart["FactOrders"].select("OrderID", "OrderValue"), ["OrderID"], 500))
+    scanned = set(re.findall(r"FileScan parquet \[([^\]]*)\]", re.sub(r"#\d+L?", "", text)))
+    assert scanned and all("_last" in s.split(",") or "_h" in s.split(",") for s in scanned)
+
+
 def test_counting_orphans_joins_distinct_keys(mart):
     text = plan(dq.orphan_counts({k: mart[k] for k in mart}))
     assert "CartesianProduct" not in text
