@@ -2,20 +2,22 @@
 
 Items and documents are compared as runs of words (letters and digits, small ASCII letters). For an
 item of n words every window of n words of a document that shares a five-word shingle with it gets
-a 64-bit SimHash, rolled along the text. Eight tables index the item fingerprints by one byte each:
-fingerprints that differ in at most RADIUS bits have a byte that differs in at most RADIUS // 8, so
-looking up all such bytes finds every one of them. The bit distance, and then the weighted Jaccard
-similarity of the shingles (each counted as often as it occurs), decide.
+a 64-bit SimHash, rolled along the text. Eight tables index the item fingerprints by one byte each.
+Fingerprints that differ in at most RADIUS bits have a byte that differs in at most as many bits as
+REACH says for it, so looking up all such bytes finds every one of them. The bit distance, and then the
+weighted Jaccard similarity of the shingles (each counted as often as it occurs), decide.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from riskmart.llm.textbytes import flat, mix, slices, span_hash, word_hash, word
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS = 20  # of 64 bits: at similarity 0.8 about ten differ, with a standard deviation of three
 PASS_ITEMS, PASS_CHARS = 20_000, 16 << 20  # benchmark items searched in one pass over the documents
+WINDOWS, PROBES = 2048, 1 << 18  # windows looked up together, and entries of a table they meet at a time
 _FILTER_BITS = 22
 
 _FOLD = np.zeros(256, np.uint8)  # word bytes in small letters; 0x20 for all others
@@ -70,7 +73,49 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(common / (len(a) + len(b) - common))
 
 
-_NEAR = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= RADIUS // 8
+#: Bits that may differ in each byte. If all eight differed in more, RADIUS + 1 bits would differ at least.
+REACH = [RADIUS // 8 - (block > RADIUS % 8) for block in range(8)]
+_APART = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8))
+
+
+class Tables:
+    """Fingerprints by the value of each of their bytes."""
+
+    def __init__(self, prints: np.ndarray):
+        self.prints = prints
+        own = prints.view(np.uint8).reshape(-1, 8)
+        self.order = [np.argsort(own[:, block], kind="stable") for block in range(8)]
+        self.first = [np.append(0, np.cumsum(np.bincount(own[:, block], minlength=256))) for block in range(8)]
+
+    def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of a print, place of a fingerprint, bits that differ) of all pairs within RADIUS, in order."""
+        theirs = prints.view(np.uint8).reshape(-1, 8)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for block in range(8):
+            probed, value = np.nonzero(_APART[theirs[:, block]] <= REACH[block])
+            low, high = self.first[block][value], self.first[block][value + 1]
+            ends = np.cumsum(high - low)
+            at = 0
+            while at < len(ends):
+                done = ends[at - 1] if at else 0
+                to = max(int(np.searchsorted(ends, done + PROBES, side="right")), at + 1)
+                sizes = (high - low)[at:to]
+                entry = np.arange(ends[to - 1] - done) + np.repeat(low[at:to] - (ends[at:to] - sizes - done), sizes)
+                print_, item = np.repeat(probed[at:to], sizes), self.order[block][entry]
+                differ = prints[print_] ^ self.prints[item]
+                bits_ = np.bitwise_count(differ)
+                close = np.flatnonzero(bits_ <= RADIUS)
+                # A pair found in several tables counts in the first of them.
+                for earlier in range(block):
+                    byte = (differ[close] >> np.uint64(8 * earlier)) & np.uint64(255)
+                    close = close[np.bitwise_count(byte) > REACH[earlier]]
+                found.append((print_[close], item[close], bits_[close]))
+                at = to
+        if not found:
+            return tuple(np.zeros(0, np.int64) for _ in range(3))
+        print_, item, bits_ = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((item, print_))
+        return print_[order], item[order], bits_[order]
 
 
 class Items:
@@ -82,6 +127,7 @@ class Items:
         self.shingles = [runs(hashes[a:b], min(SHINGLE, max(b - a, 1))) for a, b in itertools.pairwise(bounds.tolist())]
         self.by_size: dict[int, np.ndarray] = {int(n): np.flatnonzero(self.sizes == n) for n in np.unique(self.sizes) if n}
         self.prints = np.array([window_prints(s, len(s))[0] if len(s) else 0 for s in self.shingles], np.uint64)
+        self.tables = {n: Tables(self.prints[own]) for n, own in self.by_size.items()}
         # Short items are one shingle of their own length.
         self.lengths = sorted({min(SHINGLE, n) for n in self.by_size})
         self.where: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -109,16 +155,9 @@ class Items:
 
     def candidates(self, size: int, prints: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(window, item, bits that differ) for all items of this size within RADIUS."""
-        items = self.by_size[size]
-        own = self.prints[items]
-        theirs, ours = prints.view(np.uint8).reshape(-1, 8), own.view(np.uint8).reshape(-1, 8)
-        near = np.zeros((len(prints), len(items)), bool)
-        for block in range(8):
-            near |= _NEAR[theirs[:, block]][:, ours[:, block]]
-        window, item = np.nonzero(near)
-        distance = np.bitwise_count(prints[window] ^ own[item])
-        close = distance <= RADIUS
-        yield from zip(window[close].tolist(), items[item[close]].tolist(), distance[close].tolist(), strict=True)
+        for a in range(0, len(prints), WINDOWS):
+            window, item, distance = self.tables[size].within(prints[a : a + WINDOWS])
+            yield from zip((window + a).tolist(), self.by_size[size][item].tolist(), distance.tolist(), strict=True)
 
     def match(self, hashes: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """Best (similarity, start, bits) of each item that some window of these words resembles."""
@@ -157,23 +196,33 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     where all their words stand. Items that repeat give a row each, documents that repeat too. Other columns take no part.
 
     The items are broadcast in passes of bounded size: a larger benchmark takes more passes, over all
-    documents each.
+    documents each. Passes run one after the other, so the driver holds the items of one; what they find is written.
     """
     items = only(benchmark, item_id="long", text="string").where("text is not null and item_id is not null")
+    items = items.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("copies"))
     n, chars = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     passes = max(1, -(-n // PASS_ITEMS), -(-chars // PASS_CHARS))
     plain = only(docs, doc_id="long", text="string")
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    found = [_pass(plain, items.where(part == k).orderBy("item_id", "text").collect()) for k in range(passes)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def _pass(docs: DataFrame, items: list) -> DataFrame:
-    schema, key = arrow(LEAKS), uuid.uuid4().hex
+    if passes == 1:
+        return _pass(plain, items.orderBy("item_id", "text").collect())[0]
+    scratch = Scratch(docs.sparkSession, "items")
+    parted = items.withColumn("pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)))
+    parted.repartition("pass").write.partitionBy("pass").parquet(f"{scratch.base}/parts")
+    parted = docs.sparkSession.read.schema(parted.schema).parquet(f"{scratch.base}/parts")
+    found = []
+    for k in range(passes):
+        one, shared = _pass(plain, parted.where(F.col("pass") == k).orderBy("item_id", "text").collect())
+        found.append(scratch.save(one, f"found{k}"))
+        shared.destroy()
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _pass(docs: DataFrame, items: list) -> tuple[DataFrame, Broadcast]:
+    """The leaks of some items (item_id, text, copies), and the broadcast that holds them."""
+    each = f"{LEAKS}, copies long"
+    schema, key = arrow(each), uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(([r["item_id"] for r in items], [r["text"] for r in items]))
+    copies = np.array([r["copies"] for r in items], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _kept:
@@ -187,15 +236,16 @@ def _pass(docs: DataFrame, items: list) -> DataFrame:
             doc_ids = batch.column("doc_id").to_pylist()
             # One look at the whole slice tells which documents hold any shingle of an item.
             held = np.array(sorted({place for place, _ in known.hits(hashes)}), np.int64)
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[] for _ in schema]
             for i in np.unique(np.searchsorted(bounds, held, side="right") - 1).tolist():
                 for item, (alike, start, distance) in sorted(known.match(hashes[bounds[i] : bounds[i + 1]]).items()):
-                    row = (doc_ids[i], int(known.ids[item]), start, int(known.sizes[item]), distance, alike)
+                    row = (doc_ids[i], int(known.ids[item]), start, int(known.sizes[item]), distance, alike, int(copies[item]))
                     for column, x in zip(columns, row, strict=True):
                         column.append(x)
             yield rows(schema, *columns)
 
-    return docs.mapInArrow(run, LEAKS)
+    found = docs.mapInArrow(run, each)
+    return found.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies"), shared
 
 
 def keep_unleaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -190,7 +190,10 @@ _kept: dict[str, np.ndarray] = {}
 
 
 def predict_held_out(docs: DataFrame) -> DataFrame:
-    """Learn from documents whose crc32(doc_id) mod 4 is not 2, predict all; held_out marks that fold."""
+    """Learn from documents whose crc32(doc_id) mod 4 is not 2, predict all; held_out marks that fold.
+
+    Rows with a null doc_id are in no fold: nothing is learned from them, they are predicted, held_out is false.
+    """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     model = train(docs.where(fold != 2))
-    return predict(docs, model).select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+    return predict(docs, model).select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

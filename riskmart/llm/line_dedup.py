@@ -98,7 +98,7 @@ class Spans:
         return mix(self.hash(start, end) + (end - start).astype(np.uint64)).view(np.int64)
 
 
-OCCURRENCES = "doc_id long, tid int, number int, line long"
+OCCURRENCES = "doc_id long, tid long, number int, line long"
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -260,7 +260,7 @@ def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int | None
 
 
 def _plain(docs: DataFrame) -> DataFrame:
-    return only(docs, doc_id="long", text="string").withColumn("tid", F.hash("text"))
+    return only(docs, doc_id="long", text="string").withColumn("tid", F.xxhash64("text"))
 
 
 def _left(text: str | None, gone: list[int] | None) -> str | None:
@@ -302,7 +302,7 @@ def dedup(docs: DataFrame, edits: int = EDITS, min_chars: int | None = None) ->
     """The documents without the lines that go (see digests); n_chars, if there, is counted anew. All rows stay."""
     found = surplus(_plain(docs), Scratch(docs.sparkSession, "lines"), edits, min_chars)
     own = found.select(F.col("doc_id").alias("_own_id"), F.col("tid").alias("_own_tid"), F.col("gone").alias("_gone"))
-    joined = docs.join(own, (F.col("doc_id").cast("long") == F.col("_own_id")) & (F.hash("text") == F.col("_own_tid")), "left")
+    joined = docs.join(own, (F.col("doc_id").cast("long") == F.col("_own_id")) & (F.xxhash64("text") == F.col("_own_tid")), "left")
     numbered = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_gone", i))
     out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(numbered, "\n")))
     if "n_chars" in docs.columns:

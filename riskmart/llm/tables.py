@@ -42,11 +42,12 @@ def draw(df: DataFrame, group: str, most: int) -> DataFrame:
     Most rows are passed over by their hash alone, so few are ranked however many there are. Hand in few
     columns, and few different groups. Rows with a null group or doc_id are not drawn.
     """
+    df = df.where(F.col("doc_id").isNotNull())
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 31) - 1))
     near = df.join(F.broadcast(sizes), group).where(place / F.lit(float(1 << 31)) <= (2 * most + 50) / F.col("_size"))
     order = Window.partitionBy(group).orderBy(place, "doc_id")
-    return near.withColumn("_n", F.row_number().over(order)).where((F.col("_n") <= most) & F.col("doc_id").isNotNull()).drop("_n", "_size")
+    return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n", "_size")
 
 
 def arrow(schema: str) -> pa.Schema:

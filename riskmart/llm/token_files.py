@@ -30,7 +30,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
     """Encode every text, append ``end_id``, and write the ids to ``path`` in ascending doc_id order.
 
     A null text counts as empty, a document longer than a chunk is a chunk of its own, rows that
-    repeat a doc_id stand in the order of their text. An empty table gives a folder without chunks.
+    repeat a doc_id stand in the order of a hash of their text, rows with a null doc_id come first. An empty
+    table gives a folder without chunks.
     """
     from pyspark import TaskContext
 
@@ -64,10 +65,11 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         if doc_ids:
             yield chunk()
 
-    plain = only(docs, doc_id="long", text="string")
-    ordered = plain.repartitionByRange(F.col("doc_id"), F.col("text")).sortWithinPartitions("doc_id", "text")
+    # The ranges are found from a sample of their keys, so no text is among them.
+    plain = only(docs, doc_id="long", text="string").withColumn("tie", F.xxhash64("text"))
+    ordered = plain.repartitionByRange(F.col("doc_id"), F.col("tie")).sortWithinPartitions("doc_id", "tie", "text")
     # The ids are compressed already.
-    ordered.mapInArrow(run, CHUNKS).write.option("compression", "uncompressed").parquet(path)
+    ordered.select("doc_id", "text").mapInArrow(run, CHUNKS).write.option("compression", "uncompressed").parquet(path)
 
 
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"

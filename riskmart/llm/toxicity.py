@@ -360,9 +360,13 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Learn from the labels whose crc32(doc_id) mod 5 is not 0, score all documents; held_out marks that fold.
+
+    Rows with a null doc_id are in no fold: nothing is learned from them, they are scored, held_out is false.
+    """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     scored = score(docs, learned(docs, labels))
-    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:

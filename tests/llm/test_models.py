@@ -61,6 +61,10 @@ def test_languages_awkward(spark):
     got = {(r["doc_id"]): r for r in langid.predict(awkward(spark), model).collect()}
     assert model.languages == ["en"] and {i for i, r in got.items() if r["lang_pred"] == "und"} == {2, 3, 4}
     assert langid.predict(docs(spark, [(1, "1234 !?"), (2, "中")]), model).orderBy("doc_id").collect()[0]["lang_pred"] == "und"
+    numbered = [(i, f"words of text number {i}", "en") for i in range(300)] + [(None, f"no number {i}", "en") for i in range(700)]
+    table = spark.createDataFrame(numbered, "doc_id long, text string, lang string")
+    assert langid.train(table, 100).languages == ["en"]  # rows without a number take no places from others
+    assert {(r["doc_id"] is None, r["held_out"]) for r in langid.predict_held_out(table).collect()} == {(False, True), (False, False), (True, False)}
     nothing = langid.train(empty(spark))
     assert {tuple(r)[1:] for r in langid.predict(awkward(spark), nothing).collect()} == {("und", 0.0)}
     assert langid.predict(empty(spark), model).count() == 0
@@ -135,6 +139,7 @@ def test_toxicity_awkward(spark):
     kept = toxicity.keep_clean(table, labels)
     assert kept.columns == table.columns and kept.count() <= table.count()
     assert toxicity.score_held_out(empty(spark), labels).count() == 0
+    assert [r["held_out"] for r in toxicity.score_held_out(table, labels).where("doc_id is null").collect()] == [False]
 
 
 def brute_nearest(rows, query, k):

@@ -283,6 +283,35 @@ def test_decontamination(spark):
     assert all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want)
 
 
+@pytest.mark.parametrize("probes", [decontam.PROBES, 40])
+def test_tables_find_all_pairs_within_the_radius(monkeypatch, probes):
+    monkeypatch.setattr(decontam, "PROBES", probes)
+    r = np.random.default_rng(3)
+    own = r.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
+    # Copies with up to 30 bits turned over, and unrelated ones.
+    flips = [sum(1 << int(b) for b in r.choice(64, k, replace=False)) for k in r.integers(0, 31, 500).tolist()]
+    prints = np.append(own[r.integers(0, 300, 500)] ^ np.array(flips, np.uint64), r.integers(0, 1 << 63, 100, dtype=np.uint64))
+    apart = np.bitwise_count(prints[:, None] ^ own)
+    i, j = np.nonzero(apart <= decontam.RADIUS)
+    got = [x.tolist() for x in decontam.Tables(own).within(prints)]
+    assert got == [i.tolist(), j.tolist(), apart[i, j].tolist()] and len(i) > 300
+    assert [len(x) for x in decontam.Tables(own[:0]).within(prints)] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("size", [13, 22, 31, 40, 58, 103, 202, 400])
+def test_similar_windows_are_within_the_radius(size):
+    """Windows of the least similarity asked for, for sizes at which as many shingles as possible may differ."""
+    r = np.random.default_rng(size)
+    m, found = size - 4, 0
+    for _ in range(500):
+        shingles = r.integers(0, 1 << 63, m + m // 9, dtype=np.uint64)
+        a, b = shingles[:m], np.append(shingles[m:], shingles[m // 9 : m])
+        assert decontam.similarity(a, b) >= 0.8
+        x, y = decontam.window_prints(a, m)[0], decontam.window_prints(b, m)[0]
+        found += int(np.bitwise_count(x ^ y)) <= decontam.RADIUS
+    assert found >= 495
+
+
 def test_decontamination_awkward(spark, monkeypatch):
     table = awkward(spark)
     text = "the quick BROWN fox jumps over the lazy dog, near the river bank today"
@@ -291,6 +320,9 @@ def test_decontamination_awkward(spark, monkeypatch):
         monkeypatch.setattr(decontam, "PASS_ITEMS", items)
         got = sorted((x["doc_id"], x["item_id"]) for x in decontam.leaks(table, bench).collect())
         assert got == [(1, 1), (1, 1), (6, 1), (6, 1), (6, 1), (6, 1), (8, 1), (8, 1)]
+    many = bench.where("doc_id = 'x'").withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(5000))))
+    monkeypatch.setattr(decontam, "PASS_ITEMS", 20_000)
+    assert decontam.leaks(table, many).groupBy("doc_id").count().orderBy("doc_id").collect() == [(1, 5000), (6, 10000), (8, 5000)]
     kept = decontam.keep_unleaked(table, bench)
     assert kept.columns == table.columns and sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([2, 3, 4, 5, 7, None], key=str)
     assert decontam.leaks(empty(spark), bench).count() == 0 and decontam.leaks(table, bench.where("false")).count() == 0

@@ -60,7 +60,7 @@ def test_range_coder_shrinks_and_notices_damage():
 
 def want_files(coder, rows, end):
     out, before = [], 0
-    for doc_id, text in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
+    for doc_id, text in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0)):
         ids = np.append(plain_ids(coder, text), end).astype("<u4")
         out.append((doc_id, before, len(ids), zlib.crc32(ids.tobytes())))
         before += len(ids)
@@ -82,6 +82,15 @@ def test_token_files_awkward(spark, coder, tmp_path):
     assert token_files.round_trip(empty(spark)).count() == 0
 
 
+def test_token_files_rows_of_one_number(spark, coder):
+    rows = [(None if i % 3 else i % 2, f"{i % 50} text of many rows") for i in range(300)]
+    got = token_files.round_trip(docs(spark, rows).repartition(5)).orderBy("start").collect()
+    want = want_files(coder, rows, 2)
+    assert sorted((x["doc_id"] or -1, x["n_tokens"], x["ids_crc32"]) for x in got) == sorted((x[0] or -1, *x[2:]) for x in want)
+    assert [x["doc_id"] for x in got] == [x[0] for x in want]
+    assert [x["start"] for x in got[1:]] == [x["start"] + x["n_tokens"] for x in got[:-1]]
+
+
 def check_packing(coder, rows, got, capacity):
     by_doc = {}
     for x in got:
