@@ -36,6 +36,7 @@ ORDER, DECAY, FLOOR = 4, 0.7, 0.2
 GRAM = 5  # letters of a candidate string inside a word; whole words of 4 to 12 letters are candidates too
 LONGEST = 32  # a longer word is described by overlapping stretches of this length
 CACHE_WORDS = 250_000
+BLOCK = 1 << 18  # pairs of places compared together
 
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_][\s.*_-]+){3,}[^\W\d_](?!\w)")
 _SENTENCE = re.compile(r"[.!?]*\n+|[.!?]+\s")
@@ -57,22 +58,30 @@ def stretches(word: str) -> list[str]:
 
 
 def kernel(words: np.ndarray, landmarks: np.ndarray, word: np.ndarray, landmark: np.ndarray) -> np.ndarray:
-    """Subsequence kernel of words[word] and landmarks[landmark]: code points, 0 behind the end."""
-    n, width = len(word), landmarks.shape[1]
+    """Subsequence kernel of words[word] and landmarks[landmark]: code points, 0 behind the end.
+
+    Summed over chains of ORDER places (i, j) where both have the same letter, each behind the one before in
+    both. Only such places are looked at: a chain from (i, j) to (k, l) weighs DECAY ** (k + l + 2 - i - j).
+    """
     x, u = words[word], landmarks[landmark]
-    spread = np.triu(DECAY ** (np.arange(width)[None, :] - np.arange(width)[:, None]).clip(0))
-    parts = [np.ones((n, width + 1))] + [np.zeros((n, width + 1)) for _ in range(ORDER - 1)]
-    total = np.zeros(n)
-    for i in range(x.shape[1]):
-        same = (x[:, i : i + 1] == u) & (u > 0)
-        if not same.any():
-            for part in parts[1:]:
-                part *= DECAY
-            continue
-        total += DECAY**2 * (same * parts[-1][:, :-1]).sum(1)
-        for k in range(ORDER - 1, 0, -1):
-            parts[k] *= DECAY
-            parts[k][:, 1:] += (same * (DECAY**2 * parts[k - 1][:, :-1])) @ spread
+    same = (x[:, :, None] == u[:, None, :]) & (x > 0)[:, :, None]
+    row, place = np.divmod(np.flatnonzero(same), x.shape[1] * u.shape[1])
+    i, j = np.divmod(place, u.shape[1])
+    counts = np.bincount(row, minlength=len(word))
+    first = np.cumsum(counts) - counts
+    weight = DECAY ** np.arange(x.shape[1] + u.shape[1] + 1.0)
+    total = np.zeros(len(word))
+    for n in np.unique(counts[counts >= ORDER]).tolist():
+        rows_ = np.flatnonzero(counts == n)
+        step = max(BLOCK // (n * n), 1)
+        for part in (rows_[k : k + step] for k in range(0, len(rows_), step)):
+            at = first[part][:, None] + np.arange(n)
+            a, b = i[at].astype(np.int16), j[at].astype(np.int16)
+            behind = ((a[:, :, None] > a[:, None, :]) & (b[:, :, None] > b[:, None, :])).astype(float)
+            chains = 1 / weight[a + b]
+            for _ in range(ORDER - 1):
+                chains = np.einsum("rab,rb->ra", behind, chains)
+            total[part] = (chains * weight[a + b + 2]).sum(1)
     return total
 
 
@@ -91,10 +100,11 @@ class Describer:
         self.scale = 1 / np.sqrt(np.maximum(kernel(self.points, self.points, every, every), 1e-12))
         self.alphabet = np.unique(self.points[self.points > 0])
         # masks[landmark, letter]: where the landmark has the letter
-        self.masks = np.zeros((len(landmarks), len(self.alphabet) + 1), np.uint64)
+        kind = np.uint16 if max(map(len, landmarks), default=0) < 16 else np.uint64
+        self.masks = np.zeros((len(landmarks), len(self.alphabet) + 1), kind)
         for i, name in enumerate(landmarks):
             for j, c in enumerate(name):
-                self.masks[i, np.searchsorted(self.alphabet, ord(c))] |= np.uint64(1 << j)
+                self.masks[i, np.searchsorted(self.alphabet, ord(c))] |= kind(1 << j)
 
     def values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, value) where the kernel, capped at 1, reaches FLOOR."""
@@ -105,7 +115,7 @@ class Describer:
         at, which = [], []
         for k, name in enumerate(self.landmarks):  # common subsequences by bits: fewer than ORDER letters give 0
             masks = self.masks[k][letter]
-            rest = np.full(len(words), np.uint64((1 << len(name)) - 1))
+            rest = np.full(len(words), (1 << len(name)) - 1, masks.dtype)
             full = rest.copy()
             for i in range(x.shape[1]):
                 both = rest & masks[:, i]
