@@ -7,6 +7,11 @@ segment number, and probes the index of its own and the next shorter lengths wit
 those places. Both are rows of one table that is shuffled once and joined to itself. Pairs that meet
 are compared first by parity sketches of their letters and letter pairs, of which an edit changes few
 bits, and then by a banded bit-parallel edit distance.
+
+Very many lines may share a segment and be near each other (numbered lines). They are linked first through
+what is left of them without one character: lines that share such a rest are within two edits, and each
+rest links its lines to one of them only. The join then leaves out segments whose lines are linked
+already, and pairs of linked lines under the others.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.graph import components
@@ -26,6 +31,7 @@ from riskmart.llm.tables import arrow, only, rows
 from riskmart.llm.textbytes import mix, powers, slices
 
 EDITS, MIN_CHARS = 2, 20  # shorter lines go only where they are equal
+HEAVY_LINES = 200  # lines under one key of the index from which they are linked before the join
 BROADCAST_LINES = 100_000  # lines whose text is wanted, up to which they are broadcast to the documents
 
 
@@ -168,13 +174,13 @@ def sketches(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return (letters[end] ^ letters[start] ^ pairs[last] ^ pairs[start]).view(np.int64)
 
 
-def _keyed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """key, line, sketch, probe: each distinct line once under each of its keys, however many documents hold it.
+def _names(edits: int) -> list[str]:
+    return [f"k{i}" for i in range(len(places(edits)))]
 
-    A line's keys are columns until the copies of the line, found in many batches, are one row.
-    """
-    at = places(edits)
-    names = [f"k{i}" for i in range(len(at))]
+
+def _once(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """line, sketch and a column per key: each distinct line once, however many documents hold it."""
+    names = _names(edits)
     lines_schema = ", ".join(["line long, sketch long", *(f"{k} long" for k in names)])
     schema = arrow(lines_schema)
 
@@ -187,18 +193,59 @@ def _keyed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
             start, end = start[long][once], end[long][once]
             yield rows(schema, line, sketches(points, start, end), *keys(spans, start, end, edits))
 
-    once = docs.mapInArrow(run, lines_schema).dropDuplicates(["line"])
-    each = [F.struct(F.col(k).alias("key"), F.lit(int(shorter > 0 or shift != 0)).alias("probe")) for k, (shorter, _, shift) in zip(names, at, strict=True)]
-    return once.select("line", "sketch", F.inline(F.array(*each))).where("key is not null").select("key", "line", "sketch", "probe")
+    return docs.mapInArrow(run, lines_schema).dropDuplicates(["line"])
 
 
-def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line, words) of the lines wanted (line, doc_id, tid, number)."""
-    schema = arrow("line long, words string")
+def _keyed(once: DataFrame, edits: int, *columns: str) -> DataFrame:
+    """key, line, the named columns, probe: each line under each of its keys; probe is 0 in the index."""
+    each = [
+        F.struct(F.col(k).alias("key"), F.lit(int(shorter > 0 or shift != 0)).alias("probe"))
+        for k, (shorter, _, shift) in zip(_names(edits), places(edits), strict=True)
+    ]
+    named = ["line", *columns]
+    return once.select(*named, F.inline(F.array(*each))).where("key is not null").select("key", *named, "probe")
+
+
+def _with_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents that hold the lines wanted (line, doc_id, tid, number), these in the array w."""
     each = wanted.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("number", "line")).alias("w"))
     if wanted.count() <= BROADCAST_LINES:
         each = F.broadcast(each)
+    return docs.join(each, ["doc_id", "tid"])
+
+
+def _rests(docs: DataFrame, wanted: DataFrame, edits: int) -> DataFrame:
+    """(rest, line): hashes of the lines wanted, and of each without one of its characters.
 
+    Two lines that share one are within two edits. If only one edit is allowed, the place of the missing
+    character is part of the hash, and lines that share one differ in that character alone.
+    """
+    schema = arrow("rest long, line long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
+            points, text, number, start, end = lines([x or "" for x in batch.column("text").to_pylist()])
+            spans = Spans(points)
+            w = batch.column("w")
+            of = np.repeat(np.arange(len(w)), pa.compute.list_value_length(w).to_numpy())
+            at = np.searchsorted(text, of) + w.flatten().field("number").to_numpy()
+            line, start, end = spans.lines(start[at], end[at]), start[at], end[at]
+            yield rows(schema, line, line)
+            size = end - start
+            first = np.repeat(start, size)
+            place = np.arange(len(first)) - np.repeat(np.cumsum(size) - size, size)
+            after = spans.hash(first + place + 1, np.repeat(end, size)) * powers(len(points) + 1)[place]
+            rest = spans.hash(first, first + place) + after + np.repeat(size - 1, size).astype(np.uint64)
+            if edits < 2:
+                rest += mix(place.astype(np.uint64) + np.uint64(1))
+            yield rows(schema, mix(rest).view(np.int64), np.repeat(line, size))
+
+    return _with_wanted(docs, wanted).mapInArrow(run, "rest long, line long")
+
+
+def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(line, words) of the lines wanted (line, doc_id, tid, number)."""
+    schema = arrow("line long, words string")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             found = [
@@ -209,11 +256,16 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             ]
             yield rows(schema, [x for x, _ in found], [x for _, x in found])
 
-    return docs.join(each, ["doc_id", "tid"]).mapInArrow(run, "line long, words string").dropDuplicates(["line"])
+    return _with_wanted(docs, wanted).mapInArrow(run, "line long, words string").dropDuplicates(["line"])
 
 
-def _verified(pairs: DataFrame, edits: int) -> DataFrame:
+def _verified(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, scratch: Scratch, edits: int) -> DataFrame:
+    """The pairs (a, b) of lines that are within so many edits of each other."""
     schema = arrow("a long, b long")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+    wanted = scratch.save(wanted.join(distinct, "line").select("line", "first.*"), "wanted")
+    texts = scratch.save(_line_texts(docs, wanted), "texts")
+    x, y = (texts.select(F.col("line").alias(k), F.col("words").alias(t)) for k, t in (("a", "x"), ("b", "y")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +273,51 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
             good = [i for i in range(len(a)) if within(x[i], y[i], edits)]
             yield rows(schema, [a[i] for i in good], [b[i] for i in good])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.join(x, "a").join(y, "b").mapInArrow(run, "a long, b long")
+
+
+def _families(docs: DataFrame, once: DataFrame, distinct: DataFrame, scratch: Scratch, edits: int) -> tuple[DataFrame, ...] | None:
+    """Links (a, b) among lines under keys with many of them, (node, root) by these, and the keys whose lines are all linked.
+
+    Each rest links its lines to the smallest, so there are at most as many links as the lines have characters.
+    None if no key holds that many lines.
+    """
+    index = [k for k, (shorter, _, shift) in zip(_names(edits), places(edits), strict=True) if not (shorter or shift)]
+    found = once.select(F.explode(F.array(*index)).alias("key")).where("key is not null").groupBy("key").count()
+    heavy = scratch.save(found.where(F.col("count") > HEAVY_LINES).select("key"), "heavy")
+    if not edits or heavy.isEmpty():
+        return None
+    held = scratch.save(_keyed(once, edits).join(heavy, "key").select("key", "line"), "held")
+    wanted = scratch.save(held.select("line").distinct().join(distinct, "line").select("line", "first.*"), "family")
+    least = F.min("line").over(Window.partitionBy("rest"))  # its lines: one character put in at one of its places
+    stars = _rests(docs, wanted, edits).select(least.alias("a"), F.col("line").alias("b")).where("a < b").distinct()
+    links = scratch.save(_verified(docs, distinct, scratch.save(stars, "stars"), scratch, edits), "linked")
+    roots = scratch.save(components(links, scratch), "roots")
+    under = held.join(roots, F.col("line") == F.col("node"), "left").select("key", F.coalesce("root", "line").alias("root"))
+    settled = under.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a = b").select("key")
+    return links, roots, scratch.save(settled, "settled")
+
+
+def _links(docs: DataFrame, distinct: DataFrame, scratch: Scratch, edits: int, min_chars: int) -> DataFrame:
+    """(a, b): lines within so many edits; enough links to connect what the edits connect."""
+    once = scratch.save(_once(docs, edits, min_chars), "keys")
+    families = _families(docs, once, distinct, scratch, edits)
+    letters, couples = "(i.sketch ^ p.sketch) & 4294967295", "shiftrightunsigned(i.sketch ^ p.sketch, 32)"
+    near = f"i.line < p.line and bit_count({letters}) <= {2 * edits} and bit_count({couples}) <= {4 * edits}"
+    if families is None:
+        keyed = _keyed(once, edits, "sketch")
+    else:
+        links, roots, settled = families
+        rooted = once.join(roots, F.col("line") == F.col("node"), "left").withColumn("root", F.coalesce("root", "line"))
+        keyed = _keyed(rooted, edits, "sketch", "root").join(settled, "key", "left_anti")
+        near += " and i.root <> p.root"
+    # One side is an index row; said of both sides at once, so that both read the same shuffle.
+    meet = keyed.alias("i").join(
+        keyed.alias("p"), (F.col("i.key") == F.col("p.key")) & F.expr(f"i.probe + p.probe < 2 and {near}")
+    )
+    pairs = scratch.save(meet.select(F.col("i.line").alias("a"), F.col("p.line").alias("b")).distinct(), "pairs")
+    found = _verified(docs, distinct, pairs, scratch, edits)
+    return found if families is None else found.unionByName(links)
 
 
 def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int | None) -> DataFrame:
@@ -236,20 +332,7 @@ def surplus(docs: DataFrame, scratch: Scratch, edits: int, min_chars: int | None
     found = scratch.save(_occurrences(docs, equal_chars), "occurrences")
     first = F.min(F.struct("doc_id", "tid", "number")).alias("first")
     distinct = scratch.save(found.groupBy("line").agg(first, F.count(F.lit(1)).alias("n")), "lines")
-    keyed = _keyed(docs, edits, near_chars)
-    letters, couples = "(i.sketch ^ p.sketch) & 4294967295", "shiftrightunsigned(i.sketch ^ p.sketch, 32)"
-    near = f"i.line < p.line and bit_count({letters}) <= {2 * edits} and bit_count({couples}) <= {4 * edits}"
-    # One side is an index row; said of both sides at once, so that both read the same shuffle.
-    meet = keyed.alias("i").join(
-        keyed.alias("p"), (F.col("i.key") == F.col("p.key")) & F.expr(f"i.probe + p.probe < 2 and {near}")
-    )
-    pairs = meet.select(F.col("i.line").alias("a"), F.col("p.line").alias("b")).distinct()
-    pairs = scratch.save(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    wanted = scratch.save(wanted.join(distinct, "line").select("line", "first.*"), "wanted")
-    texts = scratch.save(_line_texts(docs, wanted), "texts")
-    x, y = texts.select(F.col("line").alias("a"), F.col("words").alias("x")), texts.select(F.col("line").alias("b"), F.col("words").alias("y"))
-    classes = components(_verified(pairs.join(x, "a").join(y, "b"), edits), scratch)
+    classes = components(_links(docs, distinct, scratch, edits, near_chars), scratch)
     linked = distinct.join(classes, F.col("line") == F.col("node"), "left")
     linked = linked.select("line", "first", "n", F.coalesce("root", "line").alias("root"), F.col("root").isNotNull().alias("near"))
     least = linked.where("near").groupBy("root").agg(F.min("first").alias("least"))

@@ -109,8 +109,9 @@ def brute_lines(rows, edits, min_chars):
     return sorted(((i, "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) if t is not None else None) for i, t in rows), key=str)
 
 
-@pytest.mark.parametrize("edits", [0, 1, 2, 3])
-def test_lines(spark, edits):
+@pytest.mark.parametrize("edits,heavy", [(0, 200), (1, 200), (2, 200), (3, 200), (0, 1), (1, 1), (2, 0), (2, 3), (3, 2)])
+def test_lines(spark, monkeypatch, edits, heavy):
+    monkeypatch.setattr(line_dedup, "HEAVY_LINES", heavy)
     r = random.Random(edits)
     bases = ["".join(r.choice("abcdeé ") for _ in range(r.randrange(4, 30))) for _ in range(25)]
 
@@ -152,13 +153,42 @@ def test_lines_in_rows_without_number(spark):
 def test_lines_have_keys_once_however_many_documents_hold_them(spark):
     held = ["A line that very many documents hold.", "A line that very many documents held."]
     table = docs(spark, [(i, "\n".join([*held, f"{i} is a line of one document only"])) for i in range(300)]).repartition(30)
-    found = line_dedup._keyed(table, 2, 20)
+    found = line_dedup._keyed(line_dedup._once(table, 2, 20), 2, "sketch")
     counts = Counter(tuple(x) for x in found.collect())
     assert set(counts.values()) == {1} and len({x[1] for x in counts}) == 302
     for x in {x[1] for x in counts}:
         assert 3 <= sum(1 for y in counts if y[1] == x and not y[3]) <= sum(1 for y in counts if y[1] == x) <= len(line_dedup.places(2))
 
 
+class Kept(Scratch):
+    """Counts the rows of each table written."""
+
+    def save(self, df, name):
+        out = super().save(df, name)
+        self.sizes = {**getattr(self, "sizes", {}), name: out.count()}
+        return out
+
+
+def test_families_of_lines_write_rows_in_proportion_to_lines(spark):
+    other = ["One more line that is like no other.", "One more line that is like no othe!"]
+    for n in (1000, 4000):
+        rows = [(i, f"This is the numbered line {i:05d} of the list\n{other[i % 2]}") for i in range(n)]
+        scratch = Kept(spark, "families")
+        gone = line_dedup.surplus(line_dedup._plain(docs(spark, rows).repartition(8)), scratch, 2, None)
+        assert gone.selectExpr("sum(size(gone))").first()[0] == 2 * n - 2
+        assert scratch.sizes["stars"] <= 8 * n and scratch.sizes["pairs"] <= 1
+
+
+def test_family_with_lines_two_edits_apart(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HEAVY_LINES", 10)
+    r = random.Random(5)
+    numbers = r.sample(range(1000), 120)
+    rows = [(i, f"The line {n:03d} with a digit to check it: {sum(map(int, str(n))) % 10}\na line of {i % 7} words and {n % 13}") for i, n in enumerate(numbers)]
+    rows += [(200 + i, t) for i, t in enumerate(["The line 7777 with a digit to check it: 8", "The line 12 with a digit to check it: 31"])]
+    got = line_dedup.dedup(docs(spark, rows)).collect()
+    assert sorted((tuple(x) for x in got), key=str) == brute_lines(rows, 2, 20)
+
+
 def test_edit_distance():
     r = random.Random(0)
     for _ in range(3000):
