@@ -4,7 +4,8 @@ import datetime as dt
 
 import pytest
 
-from riskmart.sources.schemas import FACTS
+from riskmart.operators import quality
+from riskmart.sources.schemas import DIMENSIONS, FACTS
 from suite.mart import Mart
 from tests.helpers import by
 
@@ -62,3 +63,25 @@ def test_lines_keep_their_own_values(mart):
 def test_stock_is_spread_before_a_part_becomes_many_rows(mart):
     plan = mart["FactInventory"]._jdf.queryExecution().optimizedPlan().toString()
     assert 0 <= plan.find("Generate explode") < plan.find("RepartitionByExpression [p_partkey")
+
+
+def test_coverage_sums_rows_before_the_last_dimension(spark, mart):
+    lost = {name: mart[name] for name in (*DIMENSIONS, "DimDate")}
+    lost["DimSupplier"] = mart["DimSupplier"].unionByName(mart["DimSupplier"]).where("SupplierKey <> 1")
+    lost["DimProduct"] = mart["DimProduct"].where("ProductKey <> 4")
+    found = quality.mapping_coverage(spark, mart.staged_all(), lost)
+    rows = by(found, "FactName")
+    staged = mart.staged("Orders").collect()
+    houses = {r["WarehouseID"] for r in mart["DimWarehouse"].collect()}
+    days = {r["FullDate"] for r in mart["DimDate"].collect()}
+    copies = {r["SupplierID"]: 2 for r in lost["DimSupplier"].collect()}
+    products = {r["ProductID"] for r in lost["DimProduct"].collect()}
+    fits = [
+        copies.get(r["SupplierID"], 0)
+        for r in staged
+        if r["ProductID"] in products and r["WarehouseID"] in houses and {r["OrderDate"], r["ExpectedDeliveryDate"]} <= days
+    ]
+    assert (rows["FactOrders"]["StagingRows"], rows["FactOrders"]["MappedRows"]) == (len(staged), sum(fits))
+    assert 0 < sum(fits)
+    # Three facts have suppliers: their rows are summed up by it, beside the three counts of partners.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [SupplierID") == 6
