@@ -5,7 +5,10 @@ import datetime as dt
 import pytest
 
 from riskmart.operators import quality
+from riskmart.sources import files
 from riskmart.sources.schemas import DIMENSIONS, FACTS
+from riskmart.sources.workspace import work_root
+from suite import catalog
 from suite.mart import Mart
 from tests.helpers import by
 
@@ -85,3 +88,15 @@ def test_coverage_sums_rows_before_the_last_dimension(spark, mart):
     assert 0 < sum(fits)
     # Three facts have suppliers: their rows are summed up by it, beside the three counts of partners.
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [SupplierID") == 6
+
+
+def test_landed_files_are_compressed(mart, monkeypatch):
+    seen = []
+    write = files.write_table
+    monkeypatch.setattr(files, "write_table", lambda df, path, **how: (seen.append(path), write(df, path, **how)))
+    counts = by(catalog._landed_all(mart)["Orders"], "OrderID")
+    assert len(seen) == 8 and all(x.startswith(work_root(mart.spark)) for x in seen)
+    assert len(counts) == 6  # nine rows, of which three ids come twice
+    for path in seen:
+        names = mart.spark.read.format("binaryFile").load(path).select("path").collect()
+        assert names and all(r["path"].endswith(".csv.gz") for r in names)
