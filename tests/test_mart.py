@@ -1,6 +1,7 @@
 """The test mart on rows of its own: what it writes, and that lazy tables hold the right rows."""
 
 import datetime as dt
+import re
 
 import pytest
 
@@ -100,3 +101,16 @@ def test_landed_files_are_compressed(mart, monkeypatch):
     for path in seen:
         names = mart.spark.read.format("binaryFile").load(path).select("path").collect()
         assert names and all(r["path"].endswith(".csv.gz") for r in names)
+
+
+def test_tasks_hold_no_more_rows_when_tables_grow(mart, monkeypatch):
+    """More partitions than the session has, where that many would hold too many rows; the rows are the same."""
+    lines, stock = mart.sources._line(), mart.sources._inv()
+    monkeypatch.setattr("suite.mart.TASK_ROWS", 1)
+    dealt, spread = mart.sources._line(), mart.sources._inv()
+    # 15 order lines, 180 stock rows.
+    for df, key, parts in ((dealt, "l_orderkey", 15), (spread, "p_partkey", 12 * 3 * 25 // 5)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(rf"RepartitionByExpression \[{key}#\d+L?\], {parts}\b", plan), plan
+    assert sorted(dealt.collect()) == sorted(lines.collect())
+    assert sorted(spread.collect()) == sorted(stock.collect())
