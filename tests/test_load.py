@@ -1,6 +1,7 @@
 """Raw CSV files to views, and the same again."""
 
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +186,28 @@ def test_loads_that_meet_take_turns(spark, tmp_path):
     assert found.version == 6 and set(found.tables) == {f"T{i}" for i in range(6)}
 
 
+def test_one_load_at_a_time_looks_up_and_adds_a_version(spark, tmp_path, monkeypatch):
+    """None reads the last version while another adds one, so none leaves out what the other published."""
+    looked_up, inside, most = versions.current, [], []
+
+    def slow(*args):
+        inside.append(1)
+        most.append(len(inside))
+        time.sleep(0.2)
+        inside.pop()
+        return looked_up(*args)
+
+    monkeypatch.setattr(versions, "current", slow)
+    stored = {f"T{i}": versions.Stored(f"T{i}/v", "{}") for i in range(4)}
+    threads = [threading.Thread(target=versions.publish, args=(spark, str(tmp_path), {n: x})) for n, x in stored.items()]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert max(most) == 1
+    assert looked_up(spark, str(tmp_path)) == versions.Manifest(4, stored)
+
+
 def test_views_follow_a_load_in_another_session(spark, landing, tmp_path):
     folder = str(tmp_path / "mart")
     refresh(spark, landing, folder, mapping.CALENDAR)
