@@ -69,16 +69,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
     schema = arrow(PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = bpe(tokenizer), end_id.to_bytes(4, "little")
+        coder = bpe(tokenizer)
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             found: list[list[int]] = [[], [], [], [], []]
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(texts), strict=True):
-                view = memoryview(ids + end)
-                total = len(view) // 4
-                for start in range(0, total, capacity):
-                    part = view[4 * start : 4 * (start + capacity)]
-                    for column, x in zip(found, (doc_id, start, len(part) // 4, zlib.crc32(part), total), strict=True):
+            ids, edges = coder.encode_column(batch.column("text"), end_id)
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                for start in range(0, b - a, capacity):
+                    part = ids[a + start : min(a + start + capacity, b)]
+                    for column, x in zip(found, (doc_id, start, len(part), zlib.crc32(part), b - a), strict=True):
                         column.append(x)
             yield rows(schema, *found)
 

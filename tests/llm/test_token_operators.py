@@ -1,5 +1,6 @@
 """Tokenizer, range coder, token files, packing and word-piece counts, against brute force."""
 
+import itertools
 import json
 import random
 import unicodedata
@@ -8,12 +9,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import LONG, awkward, docs, empty, sentences
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from riskmart.llm import packing, token_counts, token_files
+from riskmart.llm import bpe, packing, token_counts, token_files
 from riskmart.llm.bpe import Bpe, default_path
 from riskmart.llm.rangecoder import decode, encode
 
@@ -36,6 +38,41 @@ def test_units_give_the_tokenizer_s_ids(coder, texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [plain_ids(coder, t).tolist() for t in texts]
 
 
+EDGES = [*"aZé×÷œ²\u0301\u0085\u2028\u00a0😀", *"ab 1'.\t\n\r\x1c\x7f", " ", "  ", "\n", "\r\n", "'s", "''", "!'s", " 'll", "12", "x" * 15, "y" * 16, " " + "é" * 8, "q" * 70]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(EDGES), max_size=14).map("".join), max_size=5))
+def test_stretches_give_the_tokenizer_s_ids(coder, texts):
+    """Characters that the bytes do not tell beside all kinds that they do, and stretches around the lengths kept."""
+    for _ in range(2):  # met, then remembered
+        ids, edges = coder.encode_column(pa.array([*texts, None], pa.string()), 2)
+        want = [[*plain_ids(coder, t).tolist(), 2] for t in [*texts, None]]
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(edges.tolist())] == want
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them(monkeypatch):
+    """Every pair of 60 words, joined in four ways: the model meets each word with and without a space, no pair of them."""
+    words = [a + b + "é" for a in "abcdefghij" for b in "uvwxyz"]
+    text = "".join(f" {a}{sep}{b}" for a in words for b in words for sep in (".\n", "$", "\n", " "))
+    coder, asked = Bpe(default_path()), []
+    fresh = coder._fresh
+    monkeypatch.setattr(coder, "_fresh", lambda parts: asked.extend(parts) or fresh(parts))
+    got = [coder.encode([text]) for _ in range(2)]
+    assert got[0] == got[1] == [plain_ids(coder, text).tobytes()]
+    assert len(asked) == len(set(asked)) < 130
+
+
+def test_a_full_memory_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "_MOST", 8)
+    monkeypatch.setattr(bpe, "_LONG_BYTES", 200)
+    coder = Bpe(default_path())
+    for k in range(4):
+        texts = [f"word{i} and{'x' * (i + k)} {'y' * i}. a b c d e f" for i in range(20)]
+        assert coder.encode(texts) == [plain_ids(coder, t).tobytes() for t in texts]
+    assert coder.known.n == 8 or coder.known.edges[coder.known.n] > 20
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 70_000), max_size=300), st.integers(1, 70), st.integers(1, 5))
 def test_range_coder(ids, block, times):
