@@ -17,7 +17,7 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TKMX"
+MAGIC = b"TKM2"
 BLOCK = 1024
 _HEAD = struct.Struct("<4sIQII")  # magic, block length, ids, distinct ids, bytes of the id table
 _SCALE = 18  # order-0 frequencies sum to 2 ** 18
@@ -25,19 +25,25 @@ _MIX = 14  # shares of the three predictions sum to 2 ** 14
 _RATE = 5  # a share moves by 1/32 of the way to each outcome
 _SLOTS = 8  # 2 ** 8 contexts are remembered per order and block
 _U = np.uint64
-_TOTAL = _U(_MIX + _SCALE)
+_TOTAL = _U(_MIX + _SCALE)  # 32: intervals are unsigned 32-bit integers
 _TOP, _BOTTOM, _WORD = _U(1 << 48), _U(1 << 44), _U(16)
 
 
+def _place(distinct: int) -> type:
+    """Type of places in a table of so many ids, and of their number itself."""
+    return np.uint16 if distinct < 1 << 16 else np.uint32
+
+
 class _Model:
-    """Proposals and shares for the next id of each block."""
-
-    def __init__(self, lanes: int):
-        self.at = np.arange(lanes, dtype=np.int64) << _SLOTS
-        self.one = np.full(lanes << _SLOTS, -1, np.int32)
-        self.two = np.full(lanes << _SLOTS, -1, np.int32)
-        self.trust2, self.trust1 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.last = np.zeros(lanes, np.int64)
+    """Proposals and shares for the next id of each block; ids are places in the chunk's table, as large as it: none yet."""
+
+    def __init__(self, lanes: int, distinct: int):
+        kind = _place(distinct)
+        self.at = np.arange(lanes, dtype=np.intp) << _SLOTS
+        self.one = np.full(lanes << _SLOTS, distinct, kind)
+        self.two = np.full(lanes << _SLOTS, distinct, kind)
+        self.trust2, self.trust1 = np.zeros(lanes, np.int16), np.zeros(lanes, np.int16)
+        self.last = np.zeros(lanes, np.uint32)
         self.slot2, self.slot1 = self.at, self.at
 
     def shrink(self, n: int) -> None:
@@ -45,22 +51,21 @@ class _Model:
             setattr(self, name, getattr(self, name)[:n])
 
     def propose(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids proposed by order 2 and order 1 (-1: none yet) and their shares, 16 at least; 48 are left over."""
-        share2 = self.trust2 + 16
-        share1 = (((1 << _MIX) - 64 - share2) * self.trust1 >> _MIX) + 16
-        return self.two[self.slot2], self.one[self.slot1], share2, share1
+        """Ids proposed by order 2 and order 1 and their shares, 16 at least; 48 are left over."""
+        share2 = self.trust2.astype(np.uint32) + 16
+        share1 = (((1 << _MIX) - 64 - share2) * self.trust1.astype(np.uint32) >> _MIX) + 16
+        return self.two.take(self.slot2), self.one.take(self.slot1), share2, share1
 
     def learn(self, ids: np.ndarray, is2: np.ndarray, is1: np.ndarray) -> None:
-        most = (1 << _MIX) - 384
+        most = np.int16((1 << _MIX) - 384)
         self.trust2 += (is2 * most - self.trust2) >> _RATE
-        self.trust1 += np.where(is2, 0, (is1 * most - self.trust1) >> _RATE)
+        self.trust1 += ((is1 * most - self.trust1) >> _RATE) * ~is2
         self.two[self.slot2] = ids
         self.one[self.slot1] = ids
-        mask = (1 << _SLOTS) - 1
-        spread = ids * 0x9E3779B1
-        self.slot2 = self.at + ((spread + self.last >> 9) & mask)
-        self.slot1 = self.at + ((spread >> 7) & mask)
-        self.last = spread * 0x85EB
+        spread = ids * np.uint32(0x9E3779B1)
+        self.slot2 = self.at + ((spread + self.last) >> (32 - _SLOTS))
+        self.slot1 = self.at + (spread >> (32 - _SLOTS))
+        self.last = spread * np.uint32(0x85EBCA6B)
 
 
 class _Order0:
@@ -93,56 +98,65 @@ class _Order0:
 
 
 class _Coder:
-    """Carryless range coder: low and range of each block, renewed 16 bits at a time."""
+    """Carryless range coder: low and range of each block, renewed 16 bits at a time.
+
+    The k-th words of all blocks stand together; ``at`` is the place of the next word of each block.
+    """
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, width: int):
+        self.lanes = lanes
         self.low = np.zeros(lanes, _U)
         self.range = np.full(lanes, _U(0xFFFFFFFFFFFFFFFF))
-        self.n = np.zeros(lanes, np.int64)
+        self.at = np.arange(lanes, dtype=np.intp)
+        self.words = np.zeros(lanes * width, "<u2")
 
     def _narrow(self, n: int, step: np.ndarray, cum: np.ndarray, freq: np.ndarray) -> None:
         """Narrow the first n blocks to their intervals, then shift out the words that are settled."""
         low, span = self.low[:n], self.range[:n]
-        low += cum.astype(_U) * step
-        np.multiply(step, freq.astype(_U), out=span)
+        low += cum * step
+        np.multiply(step, freq, out=span)
         move = np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _BOTTOM))
         while len(move):
-            a, r = low[move], span[move]
+            a, r = low.take(move), span.take(move)
             settled = (a ^ (a + r)) < _TOP
-            r = np.where(settled, r, (_U(0) - a) & (_BOTTOM - _U(1)))
+            if not settled.all():
+                r = np.where(settled, r, (_U(0) - a) & (_BOTTOM - _U(1)))
             self._shift(move, a)
-            a, r = a << _WORD, r << _WORD
+            a <<= _WORD
+            r <<= _WORD
             low[move], span[move] = a, r
             move = move[((a ^ (a + r)) < _TOP) | (r < _BOTTOM)]
 
 
 class _Encoder(_Coder):
     def __init__(self, lanes: int, steps: int):
-        super().__init__(lanes)
-        self.out = np.zeros((lanes, 3 * steps + 8), "<u2")
+        super().__init__(lanes, 3 * steps + 8)
 
     def put(self, cum: np.ndarray, freq: np.ndarray) -> None:
         n = len(cum)
         self._narrow(n, self.range[:n] >> _TOTAL, cum, freq)
 
     def _shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        self.out[lanes, self.n[lanes]] = low >> _U(48)
-        self.n[lanes] += 1
+        at = self.at.take(lanes)
+        self.words[at] = low >> _U(48)
+        self.at[lanes] = at + self.lanes
 
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.low))
         for _ in range(4):
             self._shift(every, self.low)
             self.low <<= _WORD
-        return [self.out[i, : self.n[i]].tobytes() for i in every]
+        sizes = self.at // max(self.lanes, 1)
+        used = np.ascontiguousarray(self.words.reshape(-1, self.lanes)[: sizes.max(initial=0)].T) if self.lanes else []
+        return [words[:n].tobytes() for words, n in zip(used, sizes.tolist(), strict=True)]
 
 
 class _Decoder(_Coder):
     def __init__(self, payloads: list[bytes]):
-        super().__init__(len(payloads))
-        self.words = np.zeros((len(payloads), max(map(len, payloads), default=0) // 2 + 8), "<u2")
-        for i, data in enumerate(payloads):
-            self.words[i, : len(data) // 2] = np.frombuffer(data, "<u2")
+        width = max(map(len, payloads), default=0) // 2 + 8
+        super().__init__(len(payloads), width)
+        words = np.frombuffer(b"".join(data.ljust(2 * width, b"\0") for data in payloads), "<u2")
+        self.words = words.reshape(self.lanes, width).T.reshape(-1)
         self.code = np.zeros(len(payloads), _U)
         for _ in range(4):
             self._shift(np.arange(len(payloads)), None)
@@ -151,23 +165,24 @@ class _Decoder(_Coder):
         """Where in the total the code of each of the first n blocks points."""
         self.step = self.range[:n] >> _TOTAL
         place = (self.code[:n] - self.low[:n]) // self.step
-        return np.minimum(place, _U((1 << int(_TOTAL)) - 1)).astype(np.int64)
+        return np.minimum(place, _U((1 << int(_TOTAL)) - 1)).astype(np.uint32)
 
     def take(self, cum: np.ndarray, freq: np.ndarray) -> None:
         self._narrow(len(cum), self.step, cum, freq)
 
     def _shift(self, lanes: np.ndarray, low: np.ndarray | None) -> None:
-        self.code[lanes] = (self.code[lanes] << _WORD) | self.words[lanes, self.n[lanes]]
-        self.n[lanes] += 1
+        at = self.at.take(lanes)
+        self.code[lanes] = (self.code.take(lanes) << _WORD) | self.words.take(at, mode="clip")
+        self.at[lanes] = at + self.lanes
 
 
 def _interval(is2, is1, share2, share1, cum0, freq0) -> tuple[np.ndarray, np.ndarray]:
     """Interval of an id in 2 ** (_MIX + _SCALE): proposals first, the order-0 intervals in what they leave."""
     given = share2 + share1
     left = (1 << _MIX) - given
-    cum = np.where(is2, 0, np.where(is1, share2 << _SCALE, (given << _SCALE) + left * cum0))
-    freq = np.where(is2, share2 << _SCALE, np.where(is1, share1 << _SCALE, left * freq0))
-    return cum, freq
+    cum = np.where(is1, share2 << _SCALE, (given << _SCALE) + left * cum0)
+    cum *= ~is2
+    return cum, np.where(is2, share2 << _SCALE, np.where(is1, share1 << _SCALE, left * freq0))
 
 
 def _lengths(n: int, block: int) -> np.ndarray:
@@ -181,12 +196,14 @@ def encode(tokens: np.ndarray, block: int = BLOCK) -> bytes:
     order0 = _Order0.of(tokens)
     lengths = _lengths(len(tokens), block)
     lanes = len(lengths)
-    grid = np.zeros(lanes * block, np.int64)
-    grid[: len(tokens)] = tokens
+    distinct = len(order0.ids)
+    place_of = np.zeros(tokens.max(initial=0) + 1, _place(distinct))
+    place_of[order0.ids] = np.arange(distinct)
+    grid = np.zeros(lanes * block, place_of.dtype)
+    grid[: len(tokens)] = place_of[tokens]
     grid = np.ascontiguousarray(grid.reshape(lanes, block).T)
-    cum_of, freq_of = np.zeros((2, tokens.max(initial=0) + 1), np.int64)
-    cum_of[order0.ids], freq_of[order0.ids] = order0.cum[:-1], order0.freqs
-    model, coder = _Model(lanes), _Encoder(lanes, min(block, len(tokens)))
+    cums, freqs = order0.cum[:-1].astype(np.uint32), order0.freqs.astype(np.uint32)
+    model, coder = _Model(lanes, distinct), _Encoder(lanes, min(block, len(tokens)))
     live = lanes
     for t in range(int(lengths.max(initial=0))):
         if live and lengths[live - 1] <= t:  # only the last block can be shorter
@@ -196,7 +213,7 @@ def encode(tokens: np.ndarray, block: int = BLOCK) -> bytes:
         two, one, share2, share1 = model.propose()
         is2 = two == ids
         is1 = (one == ids) & ~is2
-        coder.put(*_interval(is2, is1, share2, share1, cum_of[ids], freq_of[ids]))
+        coder.put(*_interval(is2, is1, share2, share1, cums.take(ids), freqs.take(ids)))
         model.learn(ids, is2, is1)
     payloads = coder.finish()
     raw, ends = tokens.astype("<u4"), np.cumsum(lengths)
@@ -220,8 +237,9 @@ def decode(data: bytes) -> np.ndarray:
     if len(data) != (ends[-1] if lanes else at):
         raise ValueError("a chunk of the wrong length")
     coder = _Decoder([data[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)])
-    lookup = np.repeat(np.arange(distinct), order0.freqs)
-    model, grid = _Model(lanes), np.zeros((block, lanes), np.int64)
+    lookup = np.repeat(np.arange(distinct, dtype=_place(distinct)), order0.freqs)
+    cums, freqs = order0.cum[:-1].astype(np.uint32), order0.freqs.astype(np.uint32)
+    model, grid = _Model(lanes, distinct), np.zeros((block, lanes), lookup.dtype)
     live = lanes
     for t in range(int(lengths.max(initial=0))):
         if live and lengths[live - 1] <= t:
@@ -233,13 +251,13 @@ def decode(data: bytes) -> np.ndarray:
         top = place >> _SCALE
         is2 = top < share2
         is1 = ~is2 & (top < given)
-        rest = (place - (given << _SCALE)) // ((1 << _MIX) - given)
-        k = lookup[np.clip(rest, 0, (1 << _SCALE) - 1)]
-        coder.take(*_interval(is2, is1, share2, share1, order0.cum[k], order0.freqs[k]))
-        ids = np.where(is2, two, np.where(is1, one, order0.ids[k]))
+        k = lookup.take((place - (given << _SCALE)) // ((1 << _MIX) - given), mode="clip")
+        coder.take(*_interval(is2, is1, share2, share1, cums.take(k), freqs.take(k)))
+        ids = np.where(is2, two, np.where(is1, one, k))
         grid[t, :live] = ids
         model.learn(ids, is2, is1)
-    tokens = grid.T.reshape(-1)[:n].copy()
+    # A damaged block may take a proposal that is not there: any id will do, its checksum tells.
+    tokens = np.append(order0.ids, 0)[grid.T.reshape(-1)[:n]]
     raw, edges = tokens.astype("<u4"), np.cumsum(lengths)
     for i, (e, k) in enumerate(zip(edges.tolist(), lengths.tolist(), strict=True)):
         if zlib.crc32(raw[e - k : e]) != sums[i]:

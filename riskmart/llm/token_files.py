@@ -36,30 +36,29 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
     from pyspark import TaskContext
 
     tokenizer = tokenizer or default_path()
-    schema, end = arrow(CHUNKS), end_id.to_bytes(4, "little")
+    schema = arrow(CHUNKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, number, first = bpe(tokenizer), itertools.count(), 0
         file = TaskContext.get().partitionId()
         doc_ids: list[int] = []
-        coded: list[bytes] = []
+        coded: list[np.ndarray] = []
         waiting = 0
 
         def chunk() -> pa.RecordBatch:
             nonlocal doc_ids, coded, waiting, first
-            tokens = np.frombuffer(b"".join(coded), "<u4")
-            lengths = [len(x) // 4 for x in coded]
+            tokens, lengths = np.concatenate(coded), list(map(len, coded))
             out = rows(schema, [file], [next(number)], [first], [len(tokens)], [doc_ids], [lengths], [encode(tokens)])
             first += len(tokens)
             doc_ids, coded, waiting = [], [], 0
             return out
 
         for batch in itertools.chain.from_iterable(map(slices, batches)):
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(texts), strict=True):
+            ids, edges = coder.encode_column(batch.column("text"), end_id)
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 doc_ids.append(doc_id)
-                coded.append(ids + end)
-                waiting += len(ids) // 4 + 1
+                coded.append(ids[a:b])
+                waiting += b - a
                 if waiting >= chunk_tokens:
                     yield chunk()
         if doc_ids:

@@ -15,7 +15,7 @@ from cases import LONG, awkward, docs, empty, sentences
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from riskmart.llm import bpe, packing, token_counts, token_files
+from riskmart.llm import bpe, packing, rangecoder, token_counts, token_files
 from riskmart.llm.bpe import Bpe, default_path
 from riskmart.llm.rangecoder import decode, encode
 
@@ -95,6 +95,15 @@ def test_range_coder_shrinks_and_notices_damage():
         decode(data[:-2])
 
 
+def test_range_coder_keeps_narrow_tables():
+    """What a block remembers takes two bytes an entry where the chunk has fewer ids than two bytes hold."""
+    few, many = (rangecoder._Model(3, n) for n in (50_000, 70_000))
+    assert few.one.itemsize == few.two.itemsize == 2 and many.one.itemsize == 4
+    for n in ((1 << 16) - 1, 1 << 16, (1 << 16) + 1):
+        ids = np.random.default_rng(n).permutation(np.tile(np.arange(n) * 7, 2))
+        assert (decode(encode(ids)) == ids).all()
+
+
 def want_files(coder, rows, end):
     out, before = [], 0
     for doc_id, text in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0)):
