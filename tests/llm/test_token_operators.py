@@ -71,6 +71,9 @@ def test_a_full_memory_changes_no_ids(monkeypatch):
         texts = [f"word{i} and{'x' * (i + k)} {'y' * i}. a b c d e f" for i in range(20)]
         assert coder.encode(texts) == [plain_ids(coder, t).tobytes() for t in texts]
     assert coder.known.n == 8 or coder.known.edges[coder.known.n] > 20
+    coder.forget()
+    assert coder.known is None and not coder.long  # nothing is held until texts come
+    assert coder.encode(texts) == [plain_ids(coder, t).tobytes() for t in texts]
 
 
 @settings(max_examples=60, deadline=None)
