@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 
@@ -94,6 +95,33 @@ def test_fact_drops_rows_without_partner(spark):
     assert cover["FactShipments"].StagingRows == 0
 
 
+def test_large_dimensions_are_hashed(spark, tmp_path):
+    """A dimension above the broadcast limit is hashed by partitions, so the fact is not sorted; unless they are large too."""
+    s = star(spark, suppliers=[supplier(k) for k in range(1, 3001)])
+    s["DimSupplier"].write.parquet(f"{tmp_path}/DimSupplier")
+    s["DimSupplier"] = spark.read.schema(s["DimSupplier"].schema).parquet(f"{tmp_path}/DimSupplier")
+    day = dt.date(2022, 1, 3)
+    rows = [(f"INS{i}", f"ORD{i}", f"SUP{i % 4000:04d}", "PRD1", day) for i in range(5000)]
+    staged = spark.createDataFrame(rows, "InspectionID string, OrderID string, SupplierID string, ProductID string, InspectionDate date")
+    staged = staged.selectExpr("*", *[f"CAST(1 AS {k}) AS {c}" for c, k in STAGED["SupplierQuality"].items() if c not in staged.columns])
+    empty = {t: spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in STAGED[t].items())) for t in ("Orders", "Shipments", "Inventory")}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    size = fct.stored_bytes(s["DimSupplier"].select("SupplierID", "SupplierKey"))
+    joins = {}
+    try:
+        for most in (size + 1, size // 2, 1):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            found = fct.build_fact(staged, s, "FactSupplierQuality")
+            text = found._jdf.queryExecution().executedPlan().toString()
+            joins[most] = re.findall(r"(\w*Join) \[SupplierID", text)
+            assert sorted(r.SupplierKey for r in found.collect()) == sorted(i % 4000 for i in range(5000) if 0 < i % 4000 <= 3000)
+            cover = {r.FactName: r for r in dq.mapping_coverage(spark, empty | {"SupplierQuality": staged}, s).collect()}
+            assert (cover["FactSupplierQuality"].StagingRows, cover["FactSupplierQuality"].MappedRows) == (5000, found.count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert list(joins.values()) == [["BroadcastHashJoin"], ["ShuffledHashJoin"], ["SortMergeJoin"]]
+
+
 def test_record_ids():
     assert record_ids(FACTS["FactOrders"]) == ["OrderID"]
     assert record_ids(FACTS["FactShipments"]) == ["ShipmentID", "OrderID"]

@@ -1,5 +1,6 @@
 """Raw CSV files to views, and the same again."""
 
+import re
 import threading
 import time
 
@@ -12,8 +13,8 @@ from riskmart.plans import inventory as ir
 from riskmart.plans import load
 from riskmart.plans.load import Star, correct_table, refresh, save
 from riskmart.sources import versions, workspace
-from riskmart.sources.files import malformed_rows, write_table
-from riskmart.sources.schemas import DIMENSIONS, FACTS, RAW_FILES
+from riskmart.sources.files import malformed_rows, read_raw_folder, write_table
+from riskmart.sources.schemas import DIMENSIONS, FACTS, RAW_FILES, STAGED
 from suite import mapping
 from suite.mart import Mart
 
@@ -109,6 +110,42 @@ def test_malformed_rows_are_reported(spark, tmp_path):
     assert got == {"C1": "C1,A, B,Air,India,Express", "C3": "C3,A,Air"}
 
 
+def test_malformed_rows_are_the_lines_with_another_number_of_fields(spark, tmp_path):
+    """Lines of every kind, against a count of the commas outside quotes one line at a time."""
+    fields = len(STAGED["Carriers"])
+    kinds = ["C{},A,B,India,Express", 'C{},"A, ""B""",Air,India,Express', 'C{},"A, B,Air,India,Express', "C{},A,Air", "C{},a,b,c,d,e",
+             "C{},,,,", ",,,,", ',,"",,', "C{},,,", " ", "", '"{}"', 'C{},A"x,y",B,India,Express', "C{}, é,B,India,\u2028", '"C{},A,B,India,Express"']
+    lines = [kind.format(i) for i, kind in enumerate(kinds)]
+    path = tmp_path / "carriers.csv"
+    path.write_text("\n".join(lines), encoding="utf-8")
+    counted = [(x, re.sub('"([^"]|"")*"', "", x).count(",") + 1) for x in lines]
+    want = sorted(x for x, n in counted if n != fields and x.strip(" "))
+    got = malformed_rows(spark, str(path), "Carriers")
+    assert 0 < len(want) < len(lines) - 4
+    assert sorted(r.MalformedRow for r in got.collect()) == want
+    assert "RLIKE" in got._jdf.queryExecution().optimizedPlan().toString()  # most lines are told by one match
+
+
+def test_a_load_parses_each_text_once(spark, landing, tmp_path, monkeypatch):
+    """The report's rejects are read from staged rows: CSV is read for it to be counted, without a column."""
+    seen, store = {}, load.store
+    monkeypatch.setattr(load, "store", lambda df, folder, name: (seen.update({name: df}), store(df, folder, name))[1])
+    star = refresh(spark, landing, str(tmp_path / "mart"), mapping.CALENDAR)
+    text = seen["LoadReport"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "OrderDate" in text and "RLIKE" not in text
+    rejected = {r.TableName: r.RowCount for r in star["LoadReport"].where("Step = 'rejected'").collect()}
+    raw = read_raw_folder(spark, landing)
+    assert rejected == {t: dq.rejects(raw[t], t).count() for t in raw if t != "Carriers"}
+    assert rejected["Suppliers"] > 0 and rejected["Orders"] > 0
+
+
+def test_packed_text_is_spread_over_files(spark, tmp_path):
+    rows = spark.range(10, numPartitions=1).selectExpr("CAST(id AS STRING) AS id")
+    write_table(rows, f"{tmp_path}/t", fmt="csv", compression="gzip", file_rows=4)
+    assert len(list((tmp_path / "t").glob("*.csv.gz"))) == 3
+    assert sorted(int(r.id) for r in spark.read.csv(f"{tmp_path}/t", header=True).collect()) == list(range(10))
+
+
 def test_corrections_are_written_back(spark, tmp_path):
     mart, folder = Mart.open(spark, SF), str(tmp_path)
     save(spark, mart["DimSupplier"], folder, "DimSupplier")

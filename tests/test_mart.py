@@ -91,6 +91,13 @@ def test_coverage_sums_rows_before_the_last_dimension(spark, mart):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [SupplierID") == 6
 
 
+def test_landing_writes_stock_once(mart):
+    rows = {t: df.count() for t, df in catalog._landed_all(mart).items()}
+    assert rows["Inventory"] == 12 * 5 * 3 and "raw-Inventory" not in mart._paths
+    assert sorted(map(tuple, mart.raw_once("Inventory").collect())) == sorted(map(tuple, mart.raw("Inventory").collect()))
+    assert "raw-Inventory" in mart._paths and mart.raw_once("Inventory").inputFiles()
+
+
 def test_landed_files_are_compressed(mart, monkeypatch):
     seen = []
     write = files.write_table
